@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: whitespace as Python's str.split() sees it, no-break space and the
 # U+001C..U+001F separators included.
@@ -18,7 +19,7 @@ def simple_name(name: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(F.lower(name), _SPACES, " ")), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold_accents(names: pd.Series) -> pd.Series:
     def fold(name):
         if name is None:

@@ -90,9 +90,8 @@ def with_recent(
 
 def mean_of(field: str, over: str = "recent"):
     """Mean of one field over the recent rows, NULLs skipped; NULL without any value."""
-    values = F.filter(F.transform(F.col(over), lambda r: r[field]), lambda v: v.isNotNull())
-    total = F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v)
-    return F.try_divide(total.cast("double"), F.size(values).cast("double"))
+    values = f"filter(transform({over}, r -> r.{field}), v -> v IS NOT NULL)"
+    return F.expr(f"try_divide(CAST(aggregate({values}, 0L, (a, v) -> a + v) AS DOUBLE), CAST(size({values}) AS DOUBLE))")
 
 
 def last_n(rows: DataFrame, keys: list[str], n: int, date: str = "match_date", tie: str = "match_id") -> DataFrame:

@@ -78,3 +78,9 @@ def split_rejects(rows: DataFrame, reasons: dict[str, Column]) -> tuple[DataFram
 def run_counters(rows: DataFrame, status: Column) -> DataFrame:
     """How many rows ended in which state."""
     return rows.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def replace_slices(existing: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Delete-then-insert: existing rows of the slices present in the updates give way to them."""
+    slices = updates.select(*keys).distinct()
+    return existing.join(slices, keys, "left_anti").unionByName(updates)

@@ -132,14 +132,15 @@ def find_player(rows: DataFrame, players: DataFrame, name: str, alias: str = "co
 
 def find_season(
     rows: DataFrame, season_dimension: DataFrame, competition_dimension: DataFrame,
-    season: str = "season_name", competition: str = "competition_name", alias: str = "core_season_id",
+    season: str = "season_name", competition: str = "competition_name", value: str = "season_id",
+    alias: str = "core_season_id",
 ) -> DataFrame:
-    """Season by (season, exact competition name), else any season of that name (smallest key)."""
+    """Season by (season, exact competition name), else the season of that name with the smallest ``value``."""
     named = season_dimension.join(competition_dimension.select("competition_id", "competition_name"), "competition_id")
     return attach_first(
         rows, named,
         [{season: "season_name", competition: "competition_name"}, {season: "season_name"}],
-        "season_id", alias,
+        value, alias,
     )
 
 
@@ -165,6 +166,10 @@ def insert_players(existing: DataFrame | None, lineup_players: DataFrame) -> Dat
     return _keyed_players(merge(base, rows, ["normalized_player_name"], ["_at"], KEEP))
 
 
+def player_key(name: Column) -> Column:
+    return surrogate_key(simple_name(name))
+
+
 def _keyed_players(rows: DataFrame) -> DataFrame:
     return rows.select(surrogate_key(F.col("normalized_player_name")).alias("player_id"), "*")
 
@@ -195,11 +200,14 @@ def merge_players(existing: DataFrame | None, parsed: DataFrame) -> DataFrame:
 
 
 def season_stats(
-    existing: DataFrame | None, parsed: DataFrame, players: DataFrame, team_dimension: DataFrame,
+    existing: DataFrame | None, parsed: DataFrame, team_dimension: DataFrame,
     season_dimension: DataFrame, competition_dimension: DataFrame, season_name: str = DEFAULT_STATS_SEASON,
 ) -> tuple[DataFrame, DataFrame]:
-    """(season statistics by (player, team, season), rejected rows)."""
-    rows = find_player(parsed, players, "player_name")
+    """(season statistics by (player, team, season), rejected rows).
+
+    The player merge has created every named player, so the player key follows from the name.
+    """
+    rows = parsed.withColumn("core_player_id", player_key(F.col("player_name")))
     rows = rows.withColumn("_team", F.nullif(simple_name(F.col("team_name")), F.lit("")))
     rows = attach(rows, team_dimension, {"_team": "normalized_team_name"}, "team_id", "core_team_id").drop("_team")
     rows = find_competition(rows, competition_dimension)
@@ -224,9 +232,12 @@ def season_stats(
 
 
 def lineups(
-    existing: DataFrame | None, raw: DataFrame, core_matches: DataFrame, team_dimension: DataFrame, players: DataFrame
+    existing: DataFrame | None, raw: DataFrame, core_matches: DataFrame, team_dimension: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(lineups by (match, team, player), raw lineups whose match or team is unknown)."""
+    """(lineups by (match, team, player), raw lineups whose match or team is unknown).
+
+    Listed players are inserted before (insert_players), so the player key follows from the name.
+    """
     keyed = raw.withColumn("source_match_id", match_id_text(F.col("source_file")))
     keyed = keyed.withColumn("p", F.from_json("payload", LINEUP_PAYLOAD)).select("*", "p.team_id", "p.team_name", "p.lineup").drop("p")
     ours = core_matches.filter(F.col("source_name") == SOURCE)
@@ -238,11 +249,10 @@ def lineups(
     order = "raw_lineup_id" if "raw_lineup_id" in raw.columns else "source_file"
     listed = good.select("core_match_id", "core_team_id", order, F.posexplode("lineup").alias("at", "x"))
     listed = listed.select("*", F.col("x.player_name").alias("player_name"), first_position(F.col("x.positions")).alias("first"))
-    listed = find_player(listed, players, "player_name")
     updates = listed.select(
         F.col("core_match_id").alias("match_id"),
         F.col("core_team_id").alias("team_id"),
-        F.col("core_player_id").alias("player_id"),
+        player_key(F.col("player_name")).alias("player_id"),
         "first.position_name",
         "first.starter",
         lenient_int(F.col("x.jersey_number")).alias("jersey_number"),

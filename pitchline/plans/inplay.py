@@ -8,7 +8,7 @@ one partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.schemas import BAD_BEHAVIOUR_PAYLOAD, SHOT_PAYLOAD
@@ -93,8 +93,8 @@ def minute_counts(
     )
 
 
-def _typed(column: Column, name: str) -> Column:
-    return column.cast(XG if name.startswith(("xg", "home_xg", "away_xg")) else "long")
+def _type(name: str) -> str:
+    return XG if name.startswith(("xg", "home_xg", "away_xg")) else "long"
 
 
 def _dense(counts: DataFrame, matches: DataFrame, names: list[str], extra_keys: list[str]) -> DataFrame:
@@ -105,9 +105,9 @@ def _dense(counts: DataFrame, matches: DataFrame, names: list[str], extra_keys:
     """
     keys = ["match_id", *extra_keys, "minute"]
     grid = matches.select("match_id", *extra_keys, F.explode(F.sequence(F.lit(1), F.lit(LAST_MINUTE))).alias("minute"))
-    zeros = grid.select(*keys, *[_typed(F.lit(0), c).alias(c) for c in names])
+    zeros = grid.select(*keys, *[F.expr(f"CAST(0 AS {_type(c)}) AS {c}") for c in names])
     both = zeros.unionByName(counts.select(*keys, *names)).repartition("match_id")
-    return both.groupBy(*keys).agg(*[_typed(F.sum(c), c).alias(c) for c in names])
+    return both.groupBy(*keys).agg(*[F.expr(f"CAST(sum({c}) AS {_type(c)}) AS {c}") for c in names])
 
 
 def team_minute_grid(counts: DataFrame, matches: DataFrame) -> DataFrame:
@@ -120,18 +120,19 @@ def team_minute_grid(counts: DataFrame, matches: DataFrame) -> DataFrame:
     return _dense(played, teams, COUNTS, ["team_id"])
 
 
-def _rolled(names: list[str], trailing: list[str], window) -> list[Column]:
-    running = window.rowsBetween(Window.unboundedPreceding, 0)
-    last_ten = window.rowsBetween(-9, 0)
-    return [_typed(F.sum(c).over(running), c).alias(f"{c}_cum") for c in names] + [
-        _typed(F.sum(c).over(last_ten), c).alias(f"{c}_last_10") for c in trailing
-    ]
+def _rolled(names: list[str], trailing: list[str], keys: str) -> list[Column]:
+    """Running and trailing ten-minute sums; all frames share one partitioning and one sort."""
+
+    def total(name: str, frame: str, alias: str) -> Column:
+        window = f"PARTITION BY {keys} ORDER BY minute ROWS BETWEEN {frame} PRECEDING AND CURRENT ROW"
+        return F.expr(f"CAST(sum({name}) OVER ({window}) AS {_type(name)}) AS {alias}")
+
+    return [total(c, "UNBOUNDED", f"{c}_cum") for c in names] + [total(c, "9", f"{c}_last_10") for c in trailing]
 
 
 def rollups(grid: DataFrame) -> DataFrame:
-    """Running totals and trailing ten-minute totals per (match, team); one sort serves all."""
-    w = Window.partitionBy("match_id", "team_id").orderBy("minute")
-    return grid.select("match_id", "team_id", "minute", *_rolled(COUNTS, TRAILING, w))
+    """Running totals and trailing ten-minute totals per (match, team)."""
+    return grid.select("match_id", "team_id", "minute", *_rolled(COUNTS, TRAILING, "match_id, team_id"))
 
 
 def paired_rollups(counts: DataFrame, matches: DataFrame) -> DataFrame:
@@ -139,31 +140,30 @@ def paired_rollups(counts: DataFrame, matches: DataFrame) -> DataFrame:
     sides = matches.select("match_id", "home_team_id", "away_team_id")
     names = [f"{side}_{c}" for c in COUNTS for side in ("home", "away")]
     contributions = [
-        _typed(F.when(F.col("team_id") == F.col(f"{side}_team_id"), F.col(c)).otherwise(0), f"{side}_{c}").alias(f"{side}_{c}")
+        F.expr(f"CAST(CASE WHEN team_id = {side}_team_id THEN {c} ELSE 0 END AS {_type(c)}) AS {side}_{c}")
         for c in COUNTS
         for side in ("home", "away")
     ]
     found = counts.join(sides, "match_id").select("match_id", "minute", *contributions)
-    w = Window.partitionBy("match_id").orderBy("minute")
     trailing = [f"{side}_{c}" for c in TRAILING for side in ("home", "away")]
-    return _dense(found, sides, names, []).select("match_id", "minute", *_rolled(names, trailing, w))
+    return _dense(found, sides, names, []).select("match_id", "minute", *_rolled(names, trailing, "match_id"))
 
 
 def features(paired: DataFrame, matches: DataFrame) -> DataFrame:
     """Home and away values, differences, remaining minutes and the final result."""
-    values = {f"{side}_{name}": F.col(f"{side}_{source}") for name, source in SIDE.items() for side in ("home", "away")}
+    values = {f"{side}_{name}": f"{side}_{source}" for name, source in SIDE.items() for side in ("home", "away")}
 
-    def difference(name: str) -> Column:
-        return _typed(values[f"home_{name}"] - values[f"away_{name}"], name)
+    def difference(name: str) -> str:
+        return f"CAST({values[f'home_{name}']} - {values[f'away_{name}']} AS {_type(name)})"
 
     info = matches.select(*MATCH_COLUMNS, F.col("match_result").alias("target_result_final"))
-    return paired.join(info, "match_id").select(
+    return paired.join(info, "match_id").selectExpr(
         *MATCH_COLUMNS,
         "minute",
-        *[column.alias(name) for name, column in values.items()],
-        difference("score_now").alias("goal_diff_now"),
-        *[difference(name).alias(f"diff_{name}") for name in DIFFS],
-        (F.lit(LAST_MINUTE) - F.col("minute")).alias("remaining_minutes"),
+        *[f"{column} AS {name}" for name, column in values.items()],
+        f"{difference('score_now')} AS goal_diff_now",
+        *[f"{difference(name)} AS diff_{name}" for name in DIFFS],
+        f"{LAST_MINUTE} - minute AS remaining_minutes",
         "target_result_final",
     )
 

@@ -178,18 +178,14 @@ def targets(matches: DataFrame) -> DataFrame:
 def add_derived(df: DataFrame) -> DataFrame:
     """Differences the training job adds. Only the defence difference reads NULL as 0."""
 
-    def diff(name: str) -> Column:
-        return F.col(f"home_{name}") - F.col(f"away_{name}")
-
-    def defense(side: str) -> Column:
-        parts = [F.coalesce(F.col(f"{side}_lineup_{s}_sum"), F.lit(0.0)) for s in DEFENSE]
-        return parts[0] + parts[1] + parts[2]
+    def defense(side: str) -> str:
+        return " + ".join(f"coalesce({side}_lineup_{s}_sum, 0D)" for s in DEFENSE)
 
     return df.withColumns(
         {
-            **{name: diff(source) for name, source in DERIVED_DIFFS.items()},
-            "diff_home_strength": F.col("home_home_last5_points_avg") - F.col("away_away_last5_points_avg"),
-            "diff_lineup_defense": defense("home") - defense("away"),
+            **{name: F.expr(f"home_{source} - away_{source}") for name, source in DERIVED_DIFFS.items()},
+            "diff_home_strength": F.expr("home_home_last5_points_avg - away_away_last5_points_avg"),
+            "diff_lineup_defense": F.expr(f"({defense('home')}) - ({defense('away')})"),
         }
     )
 
@@ -208,14 +204,14 @@ def build(matches: DataFrame, events: DataFrame, lineup_players: DataFrame, stat
         .fillna(0, ["distinct_players_last5", "fbref_matched_players"])
     )
 
-    def of(side: str, column: str) -> Column:
-        return F.max(F.when(F.col("is_home") == F.lit(side == "home"), F.col(column)))
+    def of(side: str, column: str, name: str) -> Column:
+        return F.expr(f"max(CASE WHEN is_home = {side == 'home'} THEN {column} END) AS {name}")
 
     wide = per_team.groupBy("match_id").agg(
-        *[of(side, t).alias(f"{side}_{t}") for t in TEAM_FEATURES for side in ("home", "away")],
-        *[of(side, f"venue_{v}").alias(f"{side}_{side}_{v}") for v in VENUE for side in ("home", "away")],
+        *[of(side, t, f"{side}_{t}") for t in TEAM_FEATURES for side in ("home", "away")],
+        *[of(side, f"venue_{v}", f"{side}_{side}_{v}") for v in VENUE for side in ("home", "away")],
     )
-    diffs = {name: F.col(f"home_{t}") - F.col(f"away_{t}") for name, t in DIFFS.items()}
+    diffs = {name: F.expr(f"home_{t} - away_{t}") for name, t in DIFFS.items()}
     rows = wide.join(matches.select(*MATCH_COLUMNS), "match_id").join(targets(matches), "match_id")
     return add_derived(rows.withColumns(diffs)).select(*MATCH_COLUMNS, *NUMERIC_FEATURES, *TARGETS)
 

@@ -6,17 +6,24 @@ part -> players and their season statistics. Every frame grows with its tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.functions.labels import match_result
-
-FIRST_DAY = "2014-08-01"
 DATASET = "star"
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp",
+    "events": "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -29,260 +36,221 @@ def team_count(spark: SparkSession, folder: str) -> int:
     return table(spark, folder, "supplier").count()
 
 
-def _home(match: Column, teams: int) -> Column:
-    return (match * 7 + F.floor(match / 10)) % teams
+def _home(match: str, teams: int) -> str:
+    return f"(({match} * 7 + {match} DIV 10) % {teams})"
 
 
-def _away(match: Column, teams: int) -> Column:
-    return (_home(match, teams) + 1 + match % (teams - 1)) % teams
+def _away(match: str, teams: int) -> str:
+    return f"(({_home(match, teams)} + 1 + {match} % {teams - 1}) % {teams})"
 
 
-def _team_name(team: Column) -> Column:
-    return F.concat(F.lit("Supplier#"), F.lpad(team.cast("string"), 9, "0"))
+def _team_name(column: str) -> str:
+    return f"concat('Supplier#', lpad(CAST({column} AS STRING), 9, '0'))"
 
 
 def matches(spark: SparkSession, folder: str) -> DataFrame:
     """Silver matches (without provenance columns)."""
     n = team_count(spark, folder)
-    key = F.col("c_custkey")
-    date = F.date_add(F.lit(FIRST_DAY).cast("date"), (key * 11 % 1000).cast("int"))
-    start = F.year(date) - F.when(F.month(date) < 8, 1).otherwise(0)
-    home, away = _home(key, n), _away(key, n)
-    home_score = F.when(F.col("c_acctbal") >= -900, ((key * 7 + F.col("c_nationkey") * 3) % 5).cast("int"))
-    away_score = ((key * 5 + F.col("c_nationkey")) % 4).cast("int")
-    return table(spark, folder, "customer").select(
-        key.alias("match_id"),
-        F.ascii("c_mktsegment").alias("competition_id"),
-        F.col("c_mktsegment").alias("competition_name"),
-        (start - 1990).alias("season_id"),
-        F.concat_ws("/", start, start + 1).alias("season_name"),
-        date.alias("match_date"),
-        F.concat((key % 10 + 12).cast("string"), F.lit(":00:00.000")).alias("kick_off"),
-        home.alias("home_team_id"),
-        _team_name(home).alias("home_team_name"),
-        away.alias("away_team_id"),
-        _team_name(away).alias("away_team_name"),
-        home_score.alias("home_score"),
-        away_score.alias("away_score"),
-        match_result(home_score, away_score).alias("match_result"),
-        home.alias("stadium_id"),
-        F.concat(F.lit("Stadium "), home.cast("string")).alias("stadium_name"),
-        F.when(key % 17 != 0, F.col("c_nationkey").cast("long")).alias("referee_id"),
-        F.when(key % 17 != 0, F.concat(F.lit("Referee "), F.col("c_nationkey").cast("string"))).alias("referee_name"),
+    keyed = table(spark, folder, "customer").selectExpr(
+        "c_custkey AS match_id",
+        "ascii(c_mktsegment) AS competition_id",
+        "c_mktsegment AS competition_name",
+        "date_add(DATE '2014-08-01', CAST(c_custkey * 11 % 1000 AS INT)) AS match_date",
+        "concat(CAST(c_custkey % 10 + 12 AS STRING), ':00:00.000') AS kick_off",
+        f"{_home('c_custkey', n)} AS home_team_id",
+        f"{_away('c_custkey', n)} AS away_team_id",
+        "CASE WHEN c_acctbal >= -900 THEN CAST((c_custkey * 7 + c_nationkey * 3) % 5 AS INT) END AS home_score",
+        "CAST((c_custkey * 5 + c_nationkey) % 4 AS INT) AS away_score",
+        "CASE WHEN c_custkey % 17 <> 0 THEN CAST(c_nationkey AS LONG) END AS referee_id",
+    )
+    dated = keyed.selectExpr("*", "year(match_date) - CASE WHEN month(match_date) < 8 THEN 1 ELSE 0 END AS first_year")
+    return dated.selectExpr(
+        "match_id",
+        "competition_id",
+        "competition_name",
+        "first_year - 1990 AS season_id",
+        "concat_ws('/', first_year, first_year + 1) AS season_name",
+        "match_date",
+        "kick_off",
+        "home_team_id",
+        f"{_team_name('home_team_id')} AS home_team_name",
+        "away_team_id",
+        f"{_team_name('away_team_id')} AS away_team_name",
+        "home_score",
+        "away_score",
+        "CASE WHEN home_score > away_score THEN 'H' WHEN home_score < away_score THEN 'A' ELSE 'D' END AS match_result",
+        "home_team_id AS stadium_id",
+        "concat('Stadium ', home_team_id) AS stadium_name",
+        "referee_id",
+        "concat('Referee ', referee_id) AS referee_name",
     )
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Silver events without player names and with parsed sub-objects; one row per line item."""
     n = team_count(spark, folder)
-    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS match_id")
     rows = spread(table(spark, folder, "lineitem")).join(orders, "l_orderkey")
-    part, supp, line, match = (F.col(c) for c in ("l_partkey", "l_suppkey", "l_linenumber", "o_custkey"))
-    minute = F.when(F.col("l_quantity") != 1, ((part * 13 + supp * 7 + line * 11) % 96).cast("int"))
-    team = F.when(
-        (line != 7) | (F.col("l_quantity") < 48),
-        F.when(part % 2 == 0, _home(match, n)).otherwise(_away(match, n)),
-    )
-    other = F.element_at(
-        F.array(*[F.lit(t) for t in ("Pressure", "Interception", "Clearance", "Block", "Duel", "Dribble", "Carry")]),
-        (supp % 7 + 1).cast("int"),
+    kinded = rows.selectExpr(
+        "*",
+        "CASE WHEN l_quantity <> 1 THEN CAST((l_partkey * 13 + l_suppkey * 7 + l_linenumber * 11) % 96 AS INT) END AS minute",
+        f"""CASE WHEN l_linenumber <> 7 OR l_quantity < 48
+            THEN CASE WHEN l_partkey % 2 = 0 THEN {_home('match_id', n)} ELSE {_away('match_id', n)} END END AS team_id""",
+        """CASE WHEN l_linenumber <= 2 THEN 'Shot' WHEN l_linenumber <= 4 THEN 'Pass' WHEN l_linenumber = 5 THEN 'Foul Committed'
+            WHEN l_linenumber = 6 THEN 'Card'
+            ELSE element_at(array('Pressure', 'Interception', 'Clearance', 'Block', 'Duel', 'Dribble', 'Carry'), CAST(l_suppkey % 7 + 1 AS INT))
+            END AS event_type_name""",
+        "CAST(l_partkey * 3 % 120 AS DOUBLE) AS x",
+        "CAST(l_suppkey * 7 % 80 AS DOUBLE) AS y",
     )
-    kind = (
-        F.when(line <= 2, "Shot").when(line <= 4, "Pass").when(line == 5, "Foul Committed").when(line == 6, "Card")
-    ).otherwise(other)
-    x, y = (part * 3 % 120).cast("double"), (supp * 7 % 80).cast("double")
-    location = F.when(line == 5, F.array(x)).when(line != 6, F.array(x, y))
-    saved = F.when(F.col("l_linestatus") == "F", "Saved To Post").otherwise("Saved")
-    outcome = F.when(F.col("l_returnflag") == "R", "Goal").when(F.col("l_returnflag") == "A", saved).otherwise("Off T")
-    return rows.select(
-        F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            F.round(F.col("l_extendedprice") * 100).cast("long"),
-        ).alias("event_id"),
-        match.alias("match_id"),
-        line.alias("event_index"),
-        F.when(minute > 45, 2).otherwise(1).alias("period"),
-        minute.alias("minute"),
-        (part * 17 % 60).cast("int").alias("second"),
-        team.alias("team_id"),
-        _team_name(team).alias("team_name"),
-        part.alias("player_id"),
-        kind.alias("event_type_name"),
-        F.when(kind == "Shot", outcome).alias("shot_outcome"),
-        F.when((kind == "Shot") & (F.col("l_discount") > 0), F.col("l_discount").cast("decimal(18,6)")).alias("shot_xg"),
-        F.when(kind == "Card", F.when(F.col("l_linestatus") == "F", "Red Card").otherwise("Yellow Card")).alias("card"),
-        F.when((kind == "Pass") & (F.col("l_returnflag") == "N"), "Incomplete").alias("pass_outcome"),
-        ((kind == "Pass") & (F.col("l_returnflag") == "R")).alias("pass_goal_assist"),
-        ((kind == "Pass") & (F.col("l_returnflag") == "A")).alias("pass_shot_assist"),
-        F.when((kind == "Pass") & (F.col("l_linestatus") == "F"), "Corner").alias("pass_type"),
-        F.when(kind == "Duel", F.when(F.col("l_linestatus") == "F", "Tackle").otherwise("Aerial Lost")).alias("duel_type"),
-        F.when(kind == "Dribble", F.when(F.col("l_linestatus") == "F", "Complete").otherwise("Incomplete")).alias("dribble_outcome"),
-        ((kind == "Clearance") & (F.col("l_returnflag") == "A")).alias("aerial_won"),
-        location.alias("location"),
-        F.when(kind.isin("Pass", "Carry"), F.array(x + line * 4, y + 3)).alias("end_location"),
-        (F.col("l_tax") > 0.05).alias("under_pressure"),
-        F.col("l_orderkey").alias("order_key"),
+    return kinded.selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS LONG)) AS event_id",
+        "match_id",
+        "l_linenumber AS event_index",
+        "CASE WHEN minute > 45 THEN 2 ELSE 1 END AS period",
+        "minute",
+        "CAST(l_partkey * 17 % 60 AS INT) AS second",
+        "team_id",
+        f"{_team_name('team_id')} AS team_name",
+        "l_partkey AS player_id",
+        "event_type_name",
+        """CASE WHEN event_type_name = 'Shot' THEN CASE l_returnflag WHEN 'R' THEN 'Goal'
+            WHEN 'A' THEN CASE WHEN l_linestatus = 'F' THEN 'Saved To Post' ELSE 'Saved' END ELSE 'Off T' END END AS shot_outcome""",
+        "CASE WHEN event_type_name = 'Shot' AND l_discount > 0 THEN CAST(l_discount AS DECIMAL(18, 6)) END AS shot_xg",
+        "CASE WHEN event_type_name = 'Card' THEN CASE WHEN l_linestatus = 'F' THEN 'Red Card' ELSE 'Yellow Card' END END AS card",
+        "CASE WHEN event_type_name = 'Pass' AND l_returnflag = 'N' THEN 'Incomplete' END AS pass_outcome",
+        "event_type_name = 'Pass' AND l_returnflag = 'R' AS pass_goal_assist",
+        "event_type_name = 'Pass' AND l_returnflag = 'A' AS pass_shot_assist",
+        "CASE WHEN event_type_name = 'Pass' AND l_linestatus = 'F' THEN 'Corner' END AS pass_type",
+        "CASE WHEN event_type_name = 'Duel' THEN CASE WHEN l_linestatus = 'F' THEN 'Tackle' ELSE 'Aerial Lost' END END AS duel_type",
+        "CASE WHEN event_type_name = 'Dribble' THEN CASE WHEN l_linestatus = 'F' THEN 'Complete' ELSE 'Incomplete' END END AS dribble_outcome",
+        "event_type_name = 'Clearance' AND l_returnflag = 'A' AS aerial_won",
+        "CASE WHEN l_linenumber = 5 THEN array(x) WHEN l_linenumber <> 6 THEN array(x, y) END AS location",
+        "CASE WHEN event_type_name IN ('Pass', 'Carry') THEN array(x + l_linenumber * 4, y + 3) END AS end_location",
+        "l_tax > 0.05 AS under_pressure",
+        "l_orderkey AS order_key",
     )
 
 
-def player_name() -> Column:
-    """Name of a player as the lineups spell it."""
-    return F.concat_ws(" ", "p_name", "p_type")
+def _players(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    """Players with the name the lineups spell."""
+    return table(spark, folder, "part").selectExpr("p_partkey AS player_id", "concat_ws(' ', p_name, p_type) AS player_name", *extra)
 
 
 def lineup_players(spark: SparkSession, folder: str) -> DataFrame:
     """Silver lineup players: who took part for which side of a match."""
-    seen = (
-        events(spark, folder)
-        .filter(F.col("team_id").isNotNull())
-        .select("match_id", "team_id", "team_name", "player_id")
-        .distinct()
-    )
-    part = table(spark, folder, "part").select(
-        F.col("p_partkey").alias("player_id"),
-        player_name().alias("player_name"),
-        (F.col("p_size") % 30 + 1).alias("jersey_number"),
-        F.when(F.col("p_size") <= 5, "GK").otherwise(F.col("p_type")).alias("position_name"),
-        F.col("p_size").alias("from_minute"),
+    seen = events(spark, folder).filter("team_id IS NOT NULL").select("match_id", "team_id", "team_name", "player_id").distinct()
+    details = _players(
+        spark, folder,
+        "p_size % 30 + 1 AS jersey_number",
+        "CASE WHEN p_size <= 5 THEN 'GK' ELSE p_type END AS position_name",
+        "p_size AS from_minute",
     )
-    return seen.join(part, "player_id")
+    return seen.join(details, "player_id")
 
 
 def player_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Player statistics as a file would hold them: text cells, accents, stray blanks, blank names."""
-    text = lambda c: c.cast("string")
-    size, key, price = F.col("p_size"), F.col("p_partkey"), F.col("p_retailprice")
-    accented = F.when(size % 2 == 1, F.replace(F.col("p_name"), F.lit("o"), F.lit("ó"))).otherwise(F.col("p_name"))
-    return table(spark, folder, "part").select(
-        F.when(size % 3 == 0, "2015/2016").alias("Season"),
-        F.col("p_type").alias("Comp"),
-        F.when(size != 50, F.col("p_brand")).alias("Squad"),
-        F.when(size != 49, F.concat(F.lit(" "), accented, F.lit("  "), F.col("p_type"))).otherwise("  ").alias("Player"),
-        F.when(size <= 5, "GK").otherwise("DF,MF").alias(" pos "),
-        F.when(size % 7 == 0, "abc").otherwise(text(size + 15)).alias("Age"),
-        text(size * 10).alias("Min"),
-        text(size % 20 + F.lit(0.7)).alias("Starts"),
-        F.when(size % 11 == 0, "nan").otherwise(text(key % 9)).alias("Gls"),
-        text(key % 7).alias("Ast"),
-        text(F.round(price).cast("long") % 100 / 4).alias("xG"),
-        text(F.round(price).cast("long") % 60 / 4).alias("xAG"),
-        text(size * 3).alias("Sh"),
-        text(size * 2).alias("SoT"),
-        text(key % 13).alias("Tkl"),
-        text(key % 11).alias("Int"),
-        F.when(size % 5 != 0, text(key % 5)).alias("Blocks"),
-        F.when(size <= 5, text(size * 15)).alias("Save%"),
-        key.alias("part_key"),
+    return table(spark, folder, "part").selectExpr(
+        "CASE WHEN p_size % 3 = 0 THEN '2015/2016' END AS Season",
+        "p_type AS Comp",
+        "CASE WHEN p_size <> 50 THEN p_brand END AS Squad",
+        """CASE WHEN p_size <> 49 THEN concat(' ', CASE WHEN p_size % 2 = 1 THEN replace(p_name, 'o', 'ó') ELSE p_name END, '  ', p_type)
+            ELSE '  ' END AS Player""",
+        "CASE WHEN p_size <= 5 THEN 'GK' ELSE 'DF,MF' END AS ` pos `",
+        "CASE WHEN p_size % 7 = 0 THEN 'abc' ELSE CAST(p_size + 15 AS STRING) END AS Age",
+        "CAST(p_size * 10 AS STRING) AS Min",
+        "CAST(p_size % 20 + 0.7D AS STRING) AS Starts",
+        "CASE WHEN p_size % 11 = 0 THEN 'nan' ELSE CAST(p_partkey % 9 AS STRING) END AS Gls",
+        "CAST(p_partkey % 7 AS STRING) AS Ast",
+        "CAST(CAST(round(p_retailprice) AS LONG) % 100 / 4 AS STRING) AS xG",
+        "CAST(CAST(round(p_retailprice) AS LONG) % 60 / 4 AS STRING) AS xAG",
+        "CAST(p_size * 3 AS STRING) AS Sh",
+        "CAST(p_size * 2 AS STRING) AS SoT",
+        "CAST(p_partkey % 13 AS STRING) AS Tkl",
+        "CAST(p_partkey % 11 AS STRING) AS Int",
+        "CASE WHEN p_size % 5 <> 0 THEN CAST(p_partkey % 5 AS STRING) END AS Blocks",
+        "CASE WHEN p_size <= 5 THEN CAST(p_size * 15 AS STRING) END AS `Save%`",
+        "p_partkey AS part_key",
     )
 
 
-def _object(present: Column, *fields: Column) -> Column:
-    return F.when(present, F.struct(*fields))
+def _payload(value: str) -> str:
+    """JSON text as an opaque column, the way a stored raw table hands it to the parser.
+
+    Without the explode the planner would see through to_json and from_json at once and spend
+    its time on relations between their fields.
+    """
+    return f"explode(array(to_json({value}))) AS payload"
 
 
 def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
     """Matches as nested JSON payloads with provenance."""
-    m = matches(spark, folder)
-    payload = F.struct(
-        "match_id",
-        F.date_format("match_date", "yyyy-MM-dd").alias("match_date"),
-        "kick_off",
-        "home_score",
-        "away_score",
-        F.struct("competition_id", "competition_name").alias("competition"),
-        F.struct("season_id", "season_name").alias("season"),
-        F.struct("home_team_id", "home_team_name").alias("home_team"),
-        F.struct("away_team_id", "away_team_name").alias("away_team"),
-        F.struct(F.col("stadium_id").alias("id"), F.col("stadium_name").alias("name")).alias("stadium"),
-        _object(
-            F.col("referee_id").isNotNull(), F.col("referee_id").alias("id"), F.col("referee_name").alias("name")
-        ).alias("referee"),
-        F.struct(F.lit("1.1.0").alias("data_version"), F.lit("").alias("shot_fidelity_version")).alias("metadata"),
-    )
-    return m.select(
-        F.col("match_id").alias("raw_match_id"),
-        F.lit(DATASET).alias("source_dataset"),
-        F.concat_ws("/", F.lit("data/matches"), "competition_id", F.concat(F.col("season_id"), F.lit(".json"))).alias("source_file"),
-        F.to_json(payload).alias("payload"),
+    return matches(spark, folder).selectExpr(
+        "match_id AS raw_match_id",
+        f"'{DATASET}' AS source_dataset",
+        "concat('data/matches/', competition_id, '/', season_id, '.json') AS source_file",
+        _payload(
+            """named_struct('match_id', match_id, 'match_date', date_format(match_date, 'yyyy-MM-dd'), 'kick_off', kick_off,
+            'home_score', home_score, 'away_score', away_score,
+            'competition', struct(competition_id, competition_name), 'season', struct(season_id, season_name),
+            'home_team', struct(home_team_id, home_team_name), 'away_team', struct(away_team_id, away_team_name),
+            'stadium', named_struct('id', stadium_id, 'name', stadium_name),
+            'referee', CASE WHEN referee_id IS NOT NULL THEN named_struct('id', referee_id, 'name', referee_name) END,
+            'metadata', named_struct('data_version', '1.1.0', 'shot_fidelity_version', ''))"""
+        ),
     )
 
 
-def _match_file(kind: str) -> Column:
+def _match_file(kind: str) -> str:
     """Windows path for every third match, POSIX for the rest."""
-    name = F.concat(F.col("match_id").cast("string"), F.lit(".json"))
-    return F.when(
-        F.col("match_id") % 3 == 0, F.concat(F.lit("C:\\data\\" + kind + "\\"), name)
-    ).otherwise(F.concat(F.lit("/data/" + kind + "/"), name))
+    return f"""concat(CASE WHEN match_id % 3 = 0 THEN 'C:\\\\data\\\\{kind}\\\\' ELSE '/data/{kind}/' END, match_id, '.json') AS source_file"""
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events as JSON payloads; the match id is only in the file name."""
-    part = table(spark, folder, "part").select(F.col("p_partkey").alias("player_id"), player_name().alias("player_name"))
-    e = events(spark, folder).join(part, "player_id", "left")
-    kind = F.col("event_type_name")
-    named = lambda i, n: F.struct(F.col(i).alias("id"), F.col(n).alias("name"))
-    payload = F.struct(
-        F.col("event_id").alias("id"),
-        F.col("event_index").alias("index"),
-        "period",
-        F.concat(F.lit("00:"), F.lpad(F.coalesce("minute", F.lit(0)).cast("string"), 2, "0"),
-                 F.lit(":"), F.lpad(F.col("second").cast("string"), 2, "0"), F.lit(".000")).alias("timestamp"),
-        "minute",
-        "second",
-        F.col("event_index").alias("possession"),
-        _object(F.col("team_id").isNotNull(), F.col("team_id").alias("id"), F.col("team_name").alias("name")).alias("team"),
-        _object(F.col("team_id").isNotNull(), F.col("team_id").alias("id"), F.col("team_name").alias("name")).alias("possession_team"),
-        named("player_id", "player_name").alias("player"),
-        F.struct((F.length(kind) + 10).alias("id"), kind.alias("name")).alias("type"),
-        F.struct(F.lit(1).alias("id"), F.lit("Regular Play").alias("name")).alias("play_pattern"),
-        (F.col("second") / 8).alias("duration"),
-        F.when(F.col("under_pressure"), True).alias("under_pressure"),
-        "location",
-        _object(
-            kind == "Pass", "end_location",
-            F.when(F.col("pass_goal_assist"), True).alias("goal_assist"),
-            F.when(F.col("pass_shot_assist"), True).alias("shot_assist"),
-            _object(F.col("pass_outcome").isNotNull(), F.col("pass_outcome").alias("name")).alias("outcome"),
-            _object(F.col("pass_type").isNotNull(), F.col("pass_type").alias("name")).alias("type"),
-        ).alias("pass"),
-        _object(
-            kind == "Shot", F.col("shot_xg").alias("statsbomb_xg"), F.struct(F.col("shot_outcome").alias("name")).alias("outcome")
-        ).alias("shot"),
-        _object(kind == "Card", F.struct(F.col("card").alias("name")).alias("card")).alias("bad_behaviour"),
-        _object(kind == "Duel", F.struct(F.col("duel_type").alias("name")).alias("type")).alias("duel"),
-        _object(kind == "Dribble", F.struct(F.col("dribble_outcome").alias("name")).alias("outcome")).alias("dribble"),
-        _object(kind == "Carry", "end_location").alias("carry"),
-        _object(kind == "Clearance", F.when(F.col("aerial_won"), True).alias("aerial_won")).alias("clearance"),
-    )
-    return e.select(
-        (F.col("order_key") * 8 + F.col("event_index")).alias("raw_event_id"),
-        F.lit(DATASET).alias("source_dataset"),
-        _match_file("events").alias("source_file"),
-        F.to_json(payload).alias("payload"),
+    team = "CASE WHEN team_id IS NOT NULL THEN named_struct('id', team_id, 'name', team_name) END"
+    of = lambda kind, value: f"CASE WHEN event_type_name = '{kind}' THEN named_struct({value}) END"
+    return events(spark, folder).join(_players(spark, folder), "player_id", "left").selectExpr(
+        "order_key * 8 + event_index AS raw_event_id",
+        f"'{DATASET}' AS source_dataset",
+        _match_file("events"),
+        _payload(
+            f"""named_struct('id', event_id, 'index', event_index, 'period', period,
+            'timestamp', concat('00:', lpad(CAST(coalesce(minute, 0) AS STRING), 2, '0'), ':', lpad(CAST(second AS STRING), 2, '0'), '.000'),
+            'minute', minute, 'second', second, 'possession', event_index, 'team', {team}, 'possession_team', {team},
+            'player', named_struct('id', player_id, 'name', player_name),
+            'type', named_struct('id', length(event_type_name) + 10, 'name', event_type_name),
+            'play_pattern', named_struct('id', 1, 'name', 'Regular Play'), 'duration', second / 8,
+            'under_pressure', CASE WHEN under_pressure THEN true END, 'location', location,
+            'pass', {of('Pass', '''
+                'end_location', end_location, 'goal_assist', CASE WHEN pass_goal_assist THEN true END,
+                'shot_assist', CASE WHEN pass_shot_assist THEN true END,
+                'outcome', CASE WHEN pass_outcome IS NOT NULL THEN named_struct('name', pass_outcome) END,
+                'type', CASE WHEN pass_type IS NOT NULL THEN named_struct('name', pass_type) END''')},
+            'shot', {of('Shot', "'statsbomb_xg', shot_xg, 'outcome', named_struct('name', shot_outcome)")},
+            'bad_behaviour', {of('Card', "'card', named_struct('name', card)")},
+            'duel', {of('Duel', "'type', named_struct('name', duel_type)")},
+            'dribble', {of('Dribble', "'outcome', named_struct('name', dribble_outcome)")},
+            'carry', {of('Carry', "'end_location', end_location")},
+            'clearance', {of('Clearance', "'aerial_won', CASE WHEN aerial_won THEN true END")})"""
+        ),
     )
 
 
 def raw_lineups(spark: SparkSession, folder: str) -> DataFrame:
     """Lineup payloads: one player per payload, an empty list for every eleventh player."""
-    p = lineup_players(spark, folder)
-    position = F.struct(
-        F.col("position_name").alias("position"),
-        F.when(F.col("from_minute") % 4 == 0, "00:00").otherwise(F.col("from_minute").cast("string")).alias("from"),
-        F.when(F.col("from_minute") % 5 != 0, F.lit("90")).alias("to"),
-        F.when(F.col("from_minute") % 6 == 0, "").otherwise("Starting XI").alias("start_reason"),
-    )
-    player = F.struct(
-        "player_id",
-        "player_name",
-        F.when(F.col("player_id") % 2 == 0, "").otherwise(F.col("player_name")).alias("player_nickname"),
-        "jersey_number",
-        F.struct(F.col("jersey_number").alias("id"), F.concat(F.lit("Country "), F.col("jersey_number")).alias("name")).alias("country"),
-        F.when(F.col("player_id") % 9 == 0, F.filter(F.array(position), lambda x: F.lit(False)))
-        .otherwise(F.array(position)).alias("positions"),
-    )
-    listed = F.filter(F.array(player), lambda x: F.col("player_id") % 11 != 0)
-    return p.select(
-        F.lit(DATASET).alias("source_dataset"),
-        _match_file("lineups").alias("source_file"),
-        F.to_json(F.struct("team_id", "team_name", listed.alias("lineup"))).alias("payload"),
+    position = """named_struct('position', position_name,
+        'from', CASE WHEN from_minute % 4 = 0 THEN '00:00' ELSE CAST(from_minute AS STRING) END,
+        'to', CASE WHEN from_minute % 5 <> 0 THEN '90' END,
+        'start_reason', CASE WHEN from_minute % 6 = 0 THEN '' ELSE 'Starting XI' END)"""
+    player = f"""named_struct('player_id', player_id, 'player_name', player_name,
+        'player_nickname', CASE WHEN player_id % 2 = 0 THEN '' ELSE player_name END, 'jersey_number', jersey_number,
+        'country', named_struct('id', jersey_number, 'name', concat('Country ', jersey_number)),
+        'positions', filter(array({position}), p -> player_id % 9 <> 0))"""
+    return lineup_players(spark, folder).selectExpr(
+        "match_id * 16777216 + player_id AS raw_lineup_id",
+        f"'{DATASET}' AS source_dataset",
+        _match_file("lineups"),
+        _payload(f"named_struct('team_id', team_id, 'team_name', team_name, 'lineup', filter(array({player}), p -> player_id % 11 <> 0))"),
     )
