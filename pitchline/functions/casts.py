@@ -13,15 +13,12 @@ def strict(text: Column, dtype: str) -> Column:
 
 def lenient_double(value: Column) -> Column:
     """Text that does not parse is NULL, and so is NaN."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nullif(value.try_cast("double"), F.lit(float("nan")))
 
 
 def lenient_int(value: Column) -> Column:
     """Number text truncated towards zero; NaN, infinities and values beyond 32 bits are NULL."""
-    number = lenient_double(value)
-    limit = F.lit(2147483648.0)
-    return F.when((number > -limit - 1) & (number < limit), number).try_cast("int")
+    return value.try_cast("double").try_cast("int")
 
 
 def point(location: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions.casts import lenient_double, lenient_int, point
-from pitchline.functions.text import first_usable, simple_name
+from pitchline.functions.text import simple_name
 from pitchline.operators.merge import COALESCE, KEEP, REPLACE, attach, attach_first, merge, split_rejects, surrogate_key
 from pitchline.plans.silver import first_position
 from pitchline.schemas import (
@@ -176,16 +176,15 @@ def _keyed_players(rows: DataFrame) -> DataFrame:
 
 def parse_stats_payload(raw: DataFrame) -> DataFrame:
     """Identity and season figures of a raw statistics payload; alternative field names are tried in turn."""
-    fields = F.from_json("payload", "map<string,string>")
+    usable = F.map_filter(F.from_json("payload", "map<string,string>"), lambda _, v: ~v.isin("", "nan", "NaN"))
+    cells = raw.select("raw_fbref_player_id", usable.alias("m"))
     cast = {"string": lambda c: c, "int": lenient_int, "double": lenient_double}
-    with_map = raw.withColumn("m", fields)
 
     def read(dtype: str, names: list[str]) -> Column:
-        return cast[dtype](first_usable(*[F.try_element_at("m", F.lit(n)) for n in names]))
+        return cast[dtype](F.coalesce(*[F.try_element_at("m", F.lit(n)) for n in names]))
 
     wanted = {**STATS_IDENTITY_FIELDS, **SEASON_STATS_FIELDS}
-    # identity and season figures both know an age-like int column only once, names do not clash
-    return with_map.select("raw_fbref_player_id", *[read(t, names).alias(n) for n, (t, names) in wanted.items()])
+    return cells.select("raw_fbref_player_id", *[read(t, names).alias(n) for n, (t, names) in wanted.items()])
 
 
 def merge_players(existing: DataFrame | None, parsed: DataFrame) -> DataFrame:
