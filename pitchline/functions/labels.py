@@ -55,7 +55,7 @@ def fair_odd(probability: Column) -> Column:
 
 def fair_odd_text(probability: Column) -> Column:
     """Two decimals, '-' when there is no odd."""
-    return F.coalesce(F.format_string("%.2f", fair_odd(probability)), F.lit("-"))
+    return F.when(probability > 0, F.format_string("%.2f", 1 / probability)).otherwise("-")
 
 
 def comparison_shares(home: Column, away: Column) -> Column:

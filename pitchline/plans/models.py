@@ -57,7 +57,8 @@ def training_rows(features: DataFrame) -> DataFrame:
     derived = {*DERIVED_DIFFS, "diff_home_strength", "diff_lineup_defense"}
     require_columns(features, [LABEL, "match_date", "match_id", *CATEGORICAL_FEATURES])
     require_columns(features, [c for c in NUMERIC_FEATURES if c not in derived])
-    rows = add_derived(enough_history(features)).filter(F.col(LABEL).isNotNull())
+    # many passes follow (checks, split points, medians, trees): they read this table, not its inputs
+    rows = cut_lineage(add_derived(enough_history(features)).filter(F.col(LABEL).isNotNull()))
     require_rows(rows, "after the filters for history and statistics coverage")
     return rows
 
@@ -149,7 +150,7 @@ def evaluate_forest(model: PipelineModel, splits: DataFrame) -> DataFrame:
 
 def train_forest(features: DataFrame, settings: ForestSettings = ForestSettings()) -> tuple[PipelineModel, DataFrame]:
     """(model fitted on the training share, rows with their split)."""
-    splits = cut_lineage(split_by_rows(training_rows(features)))
+    splits = split_by_rows(training_rows(features))
     return fit_forest(splits.filter(F.col("split") == "train"), settings), splits
 
 
@@ -171,7 +172,7 @@ def walk_forward(features: DataFrame, settings: ForestSettings, per_league: bool
 
     Yields (season, league or None, scored rows). Leagues without training rows are skipped.
     """
-    rows = cut_lineage(training_rows(features))
+    rows = training_rows(features)
     seasons = [r.season_name for r in rows.select("season_name").distinct().orderBy("season_name").collect()]
     leagues = [r.competition_name for r in rows.select("competition_name").distinct().orderBy("competition_name").collect()]
     for league in leagues if per_league else [None]:
@@ -190,8 +191,8 @@ def walk_forward(features: DataFrame, settings: ForestSettings, per_league: bool
 def inplay_rows(features: DataFrame, columns: list[str]) -> DataFrame:
     """Checked rows: needed columns, result domain, no NULLs; features as doubles."""
     require_columns(features, ["match_id", "minute", "match_date", INPLAY_LABEL, *columns])
-    typed = features.select(
-        "match_id", "match_date", INPLAY_LABEL, *[F.col(c).cast("double").alias(c) for c in columns]
+    typed = cut_lineage(
+        features.selectExpr("match_id", "match_date", INPLAY_LABEL, *[f"CAST({c} AS DOUBLE) AS {c}" for c in columns])
     )
     require_domain(typed, INPLAY_LABEL, CLASSES)
     require_no_nulls(typed, [*columns, INPLAY_LABEL])
@@ -199,10 +200,9 @@ def inplay_rows(features: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def assembled_splits(features: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
-    """Rows with ``split`` and the feature vector, cut from their lineage for the many tree passes."""
+    """Rows with ``split`` and the feature vector."""
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(inplay_rows(features, columns))
-    kept = split_by_match(vectors).select("match_id", "minute", "match_date", INPLAY_LABEL, "split", "features")
-    return cut_lineage(kept)
+    return split_by_match(vectors).select("match_id", "minute", "match_date", INPLAY_LABEL, "split", "features")
 
 
 @dataclass

@@ -10,9 +10,13 @@ from pyspark.sql import types as T
 
 
 def _json_ready(value: Column, dtype: T.DataType) -> Column:
-    """NaN to NULL inside doubles, at any depth; dates and timestamps are left to to_json."""
+    """NaN to NULL and timestamps to ISO text (fraction only when there is one), at any depth."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(value), value)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        whole = "yyyy-MM-dd'T'HH:mm:ss"
+        exact = F.date_trunc("second", value) == value
+        return F.when(exact, F.date_format(value, whole)).otherwise(F.date_format(value, whole + ".SSSSSS"))
     if isinstance(dtype, T.ArrayType):
         return F.transform(value, lambda x: _json_ready(x, dtype.elementType))
     if isinstance(dtype, T.StructType):
@@ -29,8 +33,7 @@ def row_payload(columns: list[str]) -> Column:
 def to_payload(df: DataFrame) -> DataFrame:
     """One column ``payload``: the row as JSON, NaN as null, timestamps in ISO form."""
     clean = df.select(*[_json_ready(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
-    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
-    return clean.select(F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in clean.columns]), options).alias("payload"))
+    return clean.select(row_payload(clean.columns).alias("payload"))
 
 
 def rebuild(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
