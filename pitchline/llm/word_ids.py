@@ -11,9 +11,13 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
-KEPT_PIECES = 600_000
-KEPT_LENGTH = 64
+import numpy as np
+
+KEPT_PIECES = 1_200_000
+KEPT_CHARS = 24_000_000
+CHUNK_CHARS = 4 << 20  # texts encoded together
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ"
 _KNOWN = re.compile(f"[\t\n\r -~¡-¬®-ÿ{_LETTER}]*")
 _PIECES = re.compile(f"[ \t\n\r]*[{_LETTER}]+|[ \t\n\r]*[^{_LETTER} \t\n\r]+(?:(?<=')[{_LETTER}]+)?|[ \t\n\r]+")
@@ -37,48 +41,79 @@ def known(text: str) -> bool:
 
 
 class _Kept(dict):
-    """Values by key, made when first asked for. The older half goes when both halves are full."""
+    """Ids by key; the older half goes when both halves are full."""
 
     def __init__(self, make):
         super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) <= KEPT_LENGTH:
-            if len(self) >= KEPT_PIECES // 2:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+        self.make, self.old, self.chars = make, {}, 0
+
+    def fill(self, keys: set[str]) -> None:
+        """Make sure that all keys are held; ``make`` gives the ids of those that are new."""
+        if len(self) + len(keys) > KEPT_PIECES // 2 or self.chars > KEPT_CHARS // 2:
+            self.old = dict(self)
+            self.clear()
+            self.chars = 0
+        new = []
+        for key in keys.difference(self):
+            found = self.old.get(key)
+            if found is None:
+                new.append(key)
+            else:
+                self[key] = found
+        self.chars += sum(map(len, keys))
+        self.update(zip(new, self.make(new), strict=True))
 
 
 class WordTokenizer:
-    def __init__(self, path: str):
+    def __init__(self, path: str, separator: str = "<|endoftext|>"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.pieces, self.words = _Kept(self.whole), _Kept(lambda word: self.cut(" " + word))
+        self.library, self.separator = Tokenizer.from_file(path), separator
+        self.between = self.library.token_to_id(separator)
+        self.pieces, self.words = _Kept(self._encode), _Kept(self._join)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def cut(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; null is empty."""
-        if not text:
-            return b""
-        if not known(text):
-            return self.whole(text)
-        if "  " in text or text[-1] == " ":
-            return self.cut(text)
-        first, *rest = text.split(" ")
-        return self.cut(first) + b"".join(map(self.words.__getitem__, rest))
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Each piece by the library: a special token between two pieces keeps them apart, and its id marks the cut."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), 2000):
+            ids = array("I", self.library.encode_batch_fast([self.separator.join(pieces[at:at + 2000])], add_special_tokens=False)[0].ids)
+            raw, start = ids.tobytes(), 0
+            for cut in [*np.flatnonzero(np.frombuffer(raw, "<u4") == self.between).tolist(), len(ids)]:
+                out.append(raw[4 * start:4 * cut])
+                start = cut + 1
+        return out
+
+    def _join(self, words: list[str]) -> list[bytes]:
+        pieces = [_PIECES.findall(" " + w) for w in words]
+        self.pieces.fill({p for found in pieces for p in found})
+        return [b"".join(map(self.pieces.__getitem__, found)) for found in pieces]
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size < CHUNK_CHARS:
+                size += len(texts[end] or "")
+                end += 1
+            yield from self._chunk(texts[at:end])
+            at = end
+
+    def _chunk(self, texts: list[str | None]) -> Iterator[bytes]:
+        words = [(t.split(" ") if known(t) and "  " not in t and t[-1] != " " else None) if t else [] for t in texts]
+        self.words.fill({w for found in words if found for w in found[1:]})
+        cuts = [[] if found == [] else _PIECES.findall(found[0]) if found else _PIECES.findall(t) if known(t) else None for t, found in zip(texts, words)]
+        self.pieces.fill({p for found in cuts if found for p in found})
+        for text, found, cut in zip(texts, words, cuts):
+            if cut is None:
+                yield self.whole(text)
+            else:
+                start = b"".join(map(self.pieces.__getitem__, cut))
+                yield start + b"".join(map(self.words.__getitem__, found[1:])) if found else start
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
