@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pitchline.llm import exact_dedup, id_files, packing, token_counts
+from pitchline.llm import exact_dedup, id_files, packing, simhash, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op6_id_files": id_files.op6_id_files,
+    "op10_simhash": simhash.op10_simhash,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 ORACLE = {
