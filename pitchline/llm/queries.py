@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pitchline.llm import exact_dedup, id_files, packing, simhash, token_counts
+from pitchline.llm import decontaminate, exact_dedup, id_files, packing, simhash, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op6_id_files": id_files.op6_id_files,
     "op10_simhash": simhash.op10_simhash,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 ORACLE = {
+    "op5_decontamination": decontaminate.OP5_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }
