@@ -198,8 +198,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     slot = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
     words = distinct.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.cast("int").bitwiseAND(63))).alias("bits"))
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    for at, bits in words.collect():  # at most 2**(BITMAP_BITS - 6) rows
-        bitmap[at] = np.int64(bits).astype(np.uint64)
+    words = words.toArrow()  # at most 2**(BITMAP_BITS - 6) rows
+    bitmap[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(rows.mapInArrow(_doc_prints(sorted(lengths), bitmap), f"row long, doc_id long, n_words long, seeds array<struct<{', '.join(x.replace(' ', ':', 1) for x in _SEED.split(', '))}>>"), "doc-prints")
     seeds = rows.where("size(seeds) > 0").select("row", F.explode("seeds").alias("s")).select("row", "s.*")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pitchline.llm import decontaminate, exact_dedup, id_files, packing, simhash, token_counts
+from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, packing, simhash, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op2_language_id": language_id.op2_language_id,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_id_files": id_files.op6_id_files,
