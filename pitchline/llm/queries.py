@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, packing, simhash, token_counts
+from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, packing, secrets, sharding, simhash, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_language_id": language_id.op2_language_id,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_ring_sharding": sharding.op4_ring_sharding,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_id_files": id_files.op6_id_files,
+    "op7_secret_scan": secrets.op7_secret_scan,
     "op10_simhash": simhash.op10_simhash,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
