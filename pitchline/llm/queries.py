@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, packing, secrets, sharding, simhash, token_counts
+from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, packing, secrets, sharding, simhash, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_id_files": id_files.op6_id_files,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op10_simhash": simhash.op10_simhash,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 ORACLE = {
