@@ -2,12 +2,87 @@
 
 from __future__ import annotations
 
-from pitchline.plans.inplay import COUNTS, DIFFS, SIDE, TRAILING
-from pitchline.plans.pregame import (
-    DERIVED_DIFFS, DIFFS as PRE_DIFFS, FORM, LINEUP_SUMS, NUMERIC_FEATURES, STATS_SOURCE, TEAM_FEATURES, VENUE,
-)
-from pitchline.plans.serve import COMPARED, SHARED
-from pitchline.plans.stats import COUNTED, PLAYER_COUNTS, SEASON_COUNTS, TEAM_COUNTS
+# Names written out here, not taken from the code under check.
+COUNTS = ["goals", "shots", "shots_on_target", "xg", "fouls", "red_cards", "passes"]
+DIFFS = ["shots_cum", "shots_on_target_cum", "xg_cum", "shots_last_10", "shots_on_target_last_10", "xg_last_10", "red_cards",
+ "fouls_cum", "passes_cum"]
+SIDE = {"score_now": "goals_cum",
+ "shots_cum": "shots_cum",
+ "shots_on_target_cum": "shots_on_target_cum",
+ "xg_cum": "xg_cum",
+ "shots_last_10": "shots_last_10",
+ "shots_on_target_last_10": "shots_on_target_last_10",
+ "xg_last_10": "xg_last_10",
+ "red_cards": "red_cards_cum",
+ "fouls_cum": "fouls_cum",
+ "passes_cum": "passes_cum"}
+TRAILING = ["shots", "shots_on_target", "xg"]
+DERIVED_DIFFS = {"diff_days_rest": "days_since_last_match",
+ "diff_lineup_xg": "lineup_xg_sum",
+ "diff_lineup_xag": "lineup_xag_sum",
+ "diff_lineup_shots": "lineup_shots_sum",
+ "diff_lineup_shots_on_target": "lineup_shots_on_target_sum",
+ "diff_goalkeeper_save_pct": "goalkeeper_save_pct"}
+PRE_DIFFS = {"diff_points_avg": "last5_points_avg",
+ "diff_win_rate": "last5_win_rate",
+ "diff_goals_for_avg": "last5_goals_for_avg",
+ "diff_goals_against_avg": "last5_goals_against_avg",
+ "diff_goal_diff_avg": "last5_goal_diff_avg",
+ "diff_shots_avg": "last5_shots_avg",
+ "diff_shots_on_target_avg": "last5_shots_on_target_avg"}
+FORM = {"last5_points_avg": "points",
+ "last5_win_rate": "win",
+ "last5_draw_rate": "draw",
+ "last5_loss_rate": "loss",
+ "last5_goals_for_avg": "goals_for",
+ "last5_goals_against_avg": "goals_against"}
+LINEUP_SUMS = ["xg", "xag", "shots", "shots_on_target", "tackles", "interceptions", "blocks"]
+NUMERIC_FEATURES = ["home_matches_played_before", "away_matches_played_before", "home_days_since_last_match",
+ "away_days_since_last_match", "home_last5_points_avg", "away_last5_points_avg", "home_last5_win_rate",
+ "away_last5_win_rate", "home_last5_draw_rate", "away_last5_draw_rate", "home_last5_loss_rate",
+ "away_last5_loss_rate", "home_last5_goals_for_avg", "away_last5_goals_for_avg", "home_last5_goals_against_avg",
+ "away_last5_goals_against_avg", "home_last5_goal_diff_avg", "away_last5_goal_diff_avg",
+ "home_distinct_players_last5", "away_distinct_players_last5", "home_last5_shots_avg", "away_last5_shots_avg",
+ "home_last5_shots_on_target_avg", "away_last5_shots_on_target_avg", "home_lineup_xg_sum", "away_lineup_xg_sum",
+ "home_lineup_xag_sum", "away_lineup_xag_sum", "home_lineup_shots_sum", "away_lineup_shots_sum",
+ "home_lineup_shots_on_target_sum", "away_lineup_shots_on_target_sum", "home_lineup_tackles_sum",
+ "away_lineup_tackles_sum", "home_lineup_interceptions_sum", "away_lineup_interceptions_sum",
+ "home_lineup_blocks_sum", "away_lineup_blocks_sum", "home_goalkeeper_save_pct", "away_goalkeeper_save_pct",
+ "home_fbref_matched_players", "away_fbref_matched_players", "home_home_last5_points_avg",
+ "away_away_last5_points_avg", "home_home_last5_goals_for_avg", "away_away_last5_goals_for_avg",
+ "home_home_last5_goals_against_avg", "away_away_last5_goals_against_avg", "diff_points_avg", "diff_win_rate",
+ "diff_goals_for_avg", "diff_goals_against_avg", "diff_goal_diff_avg", "diff_shots_avg", "diff_shots_on_target_avg",
+ "diff_days_rest", "diff_lineup_xg", "diff_lineup_xag", "diff_lineup_shots", "diff_lineup_shots_on_target",
+ "diff_goalkeeper_save_pct", "diff_home_strength", "diff_lineup_defense"]
+STATS_SOURCE = {"shots": "shots_total"}
+TEAM_FEATURES = ["matches_played_before", "days_since_last_match", "last5_points_avg", "last5_win_rate", "last5_draw_rate",
+ "last5_loss_rate", "last5_goals_for_avg", "last5_goals_against_avg", "last5_goal_diff_avg", "distinct_players_last5",
+ "last5_shots_avg", "last5_shots_on_target_avg", "lineup_xg_sum", "lineup_xag_sum", "lineup_shots_sum",
+ "lineup_shots_on_target_sum", "lineup_tackles_sum", "lineup_interceptions_sum", "lineup_blocks_sum",
+ "goalkeeper_save_pct", "fbref_matched_players"]
+VENUE = {"last5_points_avg": "points", "last5_goals_for_avg": "goals_for", "last5_goals_against_avg": "goals_against"}
+COMPARED = {"Pontos médios últimos 5": ("home_last5_points_avg", "away_last5_points_avg"),
+ "Win rate últimos 5": ("home_last5_win_rate", "away_last5_win_rate"),
+ "Gols marcados médios": ("home_last5_goals_for_avg", "away_last5_goals_for_avg"),
+ "Gols sofridos médios": ("home_last5_goals_against_avg", "away_last5_goals_against_avg"),
+ "Saldo médio": ("home_last5_goal_diff_avg", "away_last5_goal_diff_avg"),
+ "Pontos em casa/fora": ("home_home_last5_points_avg", "away_away_last5_points_avg"),
+ "Finalizações médias": ("home_last5_shots_avg", "away_last5_shots_avg"),
+ "Finalizações no alvo": ("home_last5_shots_on_target_avg", "away_last5_shots_on_target_avg"),
+ "Jogadores distintos últimos 5": ("home_distinct_players_last5", "away_distinct_players_last5")}
+SHARED = ["Pontos médios últimos 5", "Gols marcados médios", "Gols sofridos médios", "Saldo médio", "Pontos em casa/fora",
+ "Finalizações médias", "Finalizações no alvo"]
+COUNTED = ["goals", "shots", "shots_on_target", "passes_completed", "passes_attempted", "key_passes", "assists",
+ "progressive_passes", "progressive_carries", "corners", "dribbles_completed", "tackles", "interceptions", "blocks",
+ "clearances", "aerial_duels_won", "fouls_committed", "yellow_cards", "red_cards", "offsides"]
+PLAYER_COUNTS = ["goals", "shots", "shots_on_target", "passes_completed", "passes_attempted", "key_passes", "assists",
+ "progressive_passes", "progressive_carries", "dribbles_completed", "tackles", "interceptions", "blocks",
+ "clearances", "aerial_duels_won", "fouls_committed", "yellow_cards", "red_cards"]
+SEASON_COUNTS = ["goals", "assists", "shots", "shots_on_target", "progressive_passes", "progressive_carries", "key_passes", "tackles",
+ "interceptions", "blocks", "clearances", "aerial_duels_won", "yellow_cards", "red_cards"]
+TEAM_COUNTS = ["shots", "shots_on_target", "passes_completed", "passes_attempted", "key_passes", "progressive_passes",
+ "progressive_carries", "corners", "tackles", "interceptions", "blocks", "clearances", "aerial_duels_won",
+ "fouls_committed", "yellow_cards", "red_cards", "offsides"]
 
 SLICE = "competition_name IN ('BUILDING','HOUSEHOLD','MACHINERY') AND season_name = '2015/2016'"
 
@@ -129,15 +204,20 @@ def _real(name: str, expr: str) -> str:
 
 
 _MATCH = "match_id, match_date, competition_name, season_name, home_team_id, home_team_name, away_team_id, away_team_name"
+CTE["pair"] = f"""
+SELECT r.match_id, r.minute,
+  {', '.join(f'max(CASE WHEN r.team_id = m.{s}_team_id THEN r.{src} END) AS {s}_{src}' for src in SIDE.values() for s in ('home', 'away'))}
+FROM roll r JOIN m ON m.match_id = r.match_id GROUP BY r.match_id, r.minute
+"""
+
 CTE["f"] = f"""
 SELECT m.match_id, strftime(match_date, '%Y-%m-%d') AS match_date, competition_name, season_name, home_team_id, home_team_name,
-  away_team_id, away_team_name, h.minute,
-  {', '.join(_real(f'{s}_{n}', f'{s[0]}.{src}') for n, src in SIDE.items() for s in ('home', 'away'))},
-  (h.goals_cum - a.goals_cum)::BIGINT AS goal_diff_now,
-  {', '.join(_real(f'diff_{n}', f'h.{SIDE[n]} - a.{SIDE[n]}') for n in DIFFS)},
-  90 - h.minute AS remaining_minutes, match_result AS target_result_final
-FROM m JOIN roll h ON h.match_id = m.match_id AND h.team_id = home_team_id
-JOIN roll a ON a.match_id = m.match_id AND a.team_id = away_team_id AND a.minute = h.minute
+  away_team_id, away_team_name, p.minute,
+  {', '.join(_real(f'{s}_{n}', f'p.{s}_{src}') for n, src in SIDE.items() for s in ('home', 'away'))},
+  (p.home_goals_cum - p.away_goals_cum)::BIGINT AS goal_diff_now,
+  {', '.join(_real(f'diff_{n}', f'p.home_{SIDE[n]} - p.away_{SIDE[n]}') for n in DIFFS)},
+  90 - p.minute AS remaining_minutes, match_result AS target_result_final
+FROM m JOIN pair p ON p.match_id = m.match_id
 """
 
 CTE["tp"] = """
@@ -296,10 +376,13 @@ CTE["picks"] = """
 SELECT * FROM (
   SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY recommendation_score DESC, match_id, outcome) AS position, match_id,
     outcome, model_probability, market_odd, recommendation_score, max_selections
-  FROM (SELECT DISTINCT user_id, user_id % 4 + 1 AS max_selections, [0.55, 0.35, 0.0][(user_id % 3 + 1)::INT] AS least,
-      (user_id * 3 + i) % (SELECT count(*) FROM customer) AS match_id
-    FROM (SELECT DISTINCT user_id FROM events), (SELECT unnest(range(8)) AS i)) JOIN offers USING (match_id)
-  WHERE model_probability >= least) WHERE position <= max_selections
+  FROM (
+    SELECT * FROM (SELECT DISTINCT user_id, user_id % 4 + 1 AS max_selections, [0.55, 0.35, 0.0][(user_id % 3 + 1)::INT] AS least,
+        (user_id * 3 + i) % (SELECT count(*) FROM customer) AS match_id
+      FROM (SELECT DISTINCT user_id FROM events), (SELECT unnest(range(1, 401)) AS i)
+      WHERE i <= CASE WHEN user_id % 50 = 0 THEN 400 ELSE user_id % 40 + 1 END) JOIN offers USING (match_id)
+    WHERE model_probability >= least
+    QUALIFY row_number() OVER (PARTITION BY user_id, match_id ORDER BY recommendation_score DESC, outcome) = 1)) WHERE position <= max_selections
 """
 
 CTE["upd"] = """
@@ -333,12 +416,12 @@ FULL JOIN (SELECT lower(player_name) AS normalized_player_name, player_name AS l
 CTE["lut"] = "SELECT home_team_id AS id, home_team_name AS name FROM m UNION SELECT away_team_id, away_team_name FROM m"
 
 _DEPENDS: dict[str, list[str]] = {
-    "m": ["nt"], "e": ["m"], "lp": ["e"], "ll": ["lp"], "mc": ["e"], "grid": ["mc"], "roll": ["grid"], "f": ["roll"],
+    "m": ["nt"], "e": ["m"], "lp": ["e"], "ll": ["lp"], "mc": ["e"], "grid": ["mc"], "roll": ["grid"], "pair": ["roll"], "f": ["pair"],
     "tp": ["m"], "hist": ["tp"], "venue": ["tp"], "pos": ["tp"], "links": ["pos"], "dp": ["links", "lp"], "rs": ["links", "e"],
     "ls": ["lp", "st"], "tf": ["hist", "venue", "dp", "rs", "ls"], "tg": ["m"], "pf": ["tf", "tg"], "es": ["e"], "ps": ["ll", "es"],
-    "split": ["m"], "sc": ["split"], "res": ["sc"], "offers": ["sc"], "picks": ["offers"], "pl": ["ll", "par"], "lut": ["m"],
+    "split": ["m"], "sc": ["split"], "res": ["sc"], "offers": ["sc"], "picks": ["offers"], "raws": ["m", "docs"], "pl": ["ll", "par"], "lut": ["m"],
 }
-_MATERIALIZED = {"m", "e", "lp", "ll", "mc", "grid", "roll", "hist", "tf", "st", "tp", "pos", "links"}
+_MATERIALIZED = {"m", "e", "lp", "ll", "mc", "grid", "roll", "pair", "hist", "tf", "st", "tp", "pos", "links"}
 
 ORACLE: dict[str, str] = {}
 
@@ -374,6 +457,34 @@ _KEYS = f"""match_id, competition_id, competition_name, season_id, season_name,
 add("match_id_from_file", "e", f"""SELECT {_file('events')} AS source_file, count(*) AS events, match_id || '.json' AS base_name, match_id,
   match_id::VARCHAR AS match_id_text, 'raw_events' AS target_table FROM e GROUP BY match_id""")
 add("target_slice", "m", f"SELECT match_id::VARCHAR AS match_id_text, match_id || '.json' AS match_file_name, {_KEYS} FROM m WHERE {SLICE}")
+CTE["docs"] = """
+SELECT c_custkey AS k, c_custkey % 6 AS kind, CASE c_custkey % 6 WHEN 0 THEN 'C:\\data\\lineups\\' || c_custkey || '.json'
+  WHEN 1 THEN '/data/events/' || c_custkey || '.json' WHEN 2 THEN '/data/other/' || c_custkey || '.json'
+  WHEN 3 THEN '/data/players/' || c_custkey || '.json' WHEN 4 THEN '/data/lineups/' || c_custkey || '.json'
+  ELSE '/data/events/x' || c_custkey || '.json.json' END AS source_file FROM customer
+"""
+CTE["raws"] = """
+SELECT 'raw_matches' AS target_table, 'data/matches/' || competition_id || '/' || season_id || '.json' AS source_file, season_id::VARCHAR AS source_match_id,
+  (row_number() OVER (PARTITION BY competition_id, season_id ORDER BY match_id) - 1)::INT AS row_in_file, match_id::VARCHAR AS match_id FROM m
+UNION ALL SELECT 'raw_lineups', source_file, k::VARCHAR, 0, k::VARCHAR FROM docs WHERE kind = 0
+UNION ALL SELECT NULL, source_file, k::VARCHAR, 0, k::VARCHAR FROM docs WHERE kind = 2
+UNION ALL SELECT 'raw_events', source_file, 'x' || k, i, CASE WHEN i = 0 THEN k::VARCHAR END FROM docs, (SELECT unnest([0, 1]) AS i) WHERE kind = 5
+"""
+add("raw_documents", "docs raws", "SELECT *, 'star' AS source_dataset, '2024-01-01' AS loaded FROM raws")
+add("raw_routing", "docs raws", """SELECT coalesce(target_table, 'unknown') AS target, count(*) AS rows, count(DISTINCT source_file || ':' || row_in_file) AS ids FROM raws GROUP BY 1
+UNION ALL SELECT 'no JSON array or object', count(*), NULL FROM docs WHERE kind IN (1, 3)""")
+add("csv_layouts", "", """
+SELECT replace(p_brand, '#', '') || '_' || p_partkey % 3 || '.csv' AS source_file,
+  CASE WHEN p_partkey % 3 = 1 AND p_size % 2 = 0 THEN '2015/2016' ELSE '2025/2026' END AS season_name, NULL::VARCHAR AS competition_name,
+  CASE WHEN p_size % 5 <> 0 THEN p_brand END AS squad_name, p_name || ', ' || p_type AS player_name, NULL::VARCHAR AS pos,
+  CASE WHEN p_partkey % 3 = 0 AND p_size % 7 <> 0 THEN p_size::INT END AS age, NULL::INT AS birth_year,
+  CASE WHEN p_partkey % 3 = 1 THEN (p_size * 10)::DOUBLE END AS minutes_played, NULL::INT AS starts, NULL::DOUBLE AS nineties, NULL::DOUBLE AS goals,
+  NULL::DOUBLE AS assists, CASE WHEN p_partkey % 3 = 0 THEN p_size + 0.25::DOUBLE END AS xg, NULL::DOUBLE AS xag, NULL::DOUBLE AS shots_total,
+  NULL::DOUBLE AS shots_on_target, NULL::DOUBLE AS tackles, NULL::DOUBLE AS interceptions, NULL::DOUBLE AS blocks, NULL::DOUBLE AS clearances,
+  NULL::DOUBLE AS aerials_won, NULL::DOUBLE AS clean_sheets, NULL::DOUBLE AS save_pct,
+  CASE WHEN p_size % 5 <> 0 THEN replace(lower(p_brand), '#', ' ') END AS normalized_squad_name,
+  trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', ' ', 'g')) AS normalized_player_name
+FROM part WHERE p_partkey % 3 <> 2 AND p_partkey % 11 <> 0 AND p_partkey % 13 <> 0""")
 add("silver_matches", "m", f"""SELECT {_KEYS}, match_result, stadium_id, stadium_name, referee_id, referee_name, '1.1.0' AS data_version,
   '' AS shot_fidelity_version, NULL::VARCHAR AS xy_fidelity_version, 'star' AS source_dataset,
   'data/matches/' || competition_id || '/' || season_id || '.json' AS source_file FROM m""")
@@ -407,8 +518,7 @@ add("team_minute_grid", "grid", "SELECT * EXCLUDE xg, xg::DOUBLE AS xg FROM grid
 add("inplay_rollups", "roll", f"""SELECT match_id, team_id, minute, {', '.join(_real(f'{c}_cum', f'{c}_cum') for c in COUNTS)},
   {', '.join(_real(f'{c}_last_10', f'{c}_last_10') for c in TRAILING)} FROM roll""")
 add("inplay_features", "f", "SELECT * FROM f")
-add("inplay_from_json", "f", f"""SELECT match_id, minute, home_score_now, away_score_now, diff_xg_cum, home_xg_last_10, away_shots_last_10,
-  home_red_cards, away_passes_cum, target_result_final FROM f WHERE {SLICE}""")
+add("inplay_from_json", "f", "SELECT * FROM f")
 add("inplay_derived", "f", """SELECT match_id, minute, (goal_diff_now = 0)::INT AS is_draw_now, abs(goal_diff_now) AS abs_goal_diff_now,
   minute / 90.0::DOUBLE AS minute_progress, goal_diff_now * (minute / 90.0::DOUBLE) AS score_pressure,
   (goal_diff_now = 0 AND minute >= 60)::INT AS late_game_draw, diff_xg_last_10 * (minute / 90.0::DOUBLE) AS xg_pressure_diff,

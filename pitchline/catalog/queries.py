@@ -16,7 +16,7 @@ from pitchline.functions.text import folded_name, simple_name
 from pitchline.operators import checks, history, merge, metrics, ordering, resolve
 from pitchline.plans import core, inplay, models, pregame, serve, silver, stats
 from pitchline.schemas import PASS_PAYLOAD
-from pitchline.sources import player_stats, sample
+from pitchline.sources import player_stats, readers, sample
 from pitchline.session import cut_lineage
 from pitchline.sources.writers import row_payload
 
@@ -93,6 +93,64 @@ def _inplay(spark, d):
     return inplay.build(sample.events(spark, d), sample.matches(spark, d))
 
 
+# ------------------------------------------------------------------ loaders
+
+
+def _documents(spark, d):
+    """JSON files as text: arrays over several lines, single objects, broken ones, Windows paths, unknown folders."""
+    raw = sample.raw_matches(spark, d).select("source_file", F.col("raw_match_id").alias("n"), "payload")
+    lists = raw.groupBy("source_file").agg(F.sort_array(F.collect_list(F.struct("n", "payload"))).alias("rows"))
+    lists = lists.select("source_file", F.concat(F.lit("\n[\n  "), F.array_join(F.transform("rows", lambda r: r["payload"]), ",\n  "), F.lit("\n]\n")).alias("value"))
+    key = F.col("c_custkey")
+    kind = key % 6
+    path = F.when(kind == 0, F.format_string("C:\\data\\lineups\\%d.json", key)).when(kind == 1, F.format_string("/data/events/%d.json", key)).when(
+        kind == 2, F.format_string("/data/other/%d.json", key)).when(kind == 3, F.format_string("/data/players/%d.json", key)).when(
+        kind == 4, F.format_string("/data/lineups/%d.json", key)).otherwise(F.format_string("/data/events/x%d.json.json", key))
+    value = F.when(kind == 0, F.format_string('{\n "match_id": %d,\n "lineup": [{"a": [1, 2]}]}', key)).when(
+        kind == 1, F.format_string('[{"match_id": %d}, {"match_id"', key)).when(kind == 2, F.format_string('[{"match_id": %d}]', key)).when(
+        kind == 3, F.lit('"text"')).when(kind == 4, F.lit(" [ ] ")).otherwise(F.format_string('[\n{"match_id": %d},\n{"match_id": null}\n]', key))
+    return lists.unionByName(sample.table(spark, d, "customer").select(path.alias("source_file"), value.alias("value")))
+
+
+def _raw_documents(spark, d):
+    return readers.raw_rows(_documents(spark, d), "star", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+
+@query
+def raw_documents(spark, d):
+    rows, _ = _raw_documents(spark, d)
+    return rows.select("target_table", "source_dataset", "source_file", "source_match_id", "row_in_file",
+                       F.get_json_object("payload", "$.match_id").alias("match_id"), F.date_format("loaded_at", "yyyy-MM-dd").alias("loaded"))
+
+
+@query
+def raw_routing(spark, d):
+    """Rows by raw table, rows without one, and rejected files; ids are unique."""
+    rows, rejects = _raw_documents(spark, d)
+    routed = rows.groupBy(F.coalesce("target_table", F.lit("unknown")).alias("target")).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("raw_id").alias("ids"))
+    return routed.unionByName(rejects.groupBy(F.col("reason").alias("target")).agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("ids")))
+
+
+def _csv_lines(spark, d):
+    """Lines of CSV files, one a brand and layout: other headers, quoted commas, missing markers, blank and tab-only names."""
+    part = sample.table(spark, d, "part")
+    layout = F.col("p_partkey") % 3
+    name = F.when(F.col("p_partkey") % 11 == 0, F.lit("\t")).when(F.col("p_partkey") % 13 == 0, F.lit("N/A")).otherwise(F.concat(F.lit('"'), "p_name", F.lit(", "), "p_type", F.lit('"')))
+    squad = F.when(F.col("p_size") % 5 == 0, "NA").otherwise(F.col("p_brand"))
+    age = F.when(F.col("p_size") % 7 == 0, "null").otherwise(F.concat(F.col("p_size").cast("string"), F.lit(".0")))
+    file = F.concat(F.lit("/stats/"), F.replace("p_brand", F.lit("#"), F.lit("")), F.lit("_"), layout.cast("string"), F.lit(".csv"))
+    line = F.when(layout == 0, F.concat_ws(",", name, squad, age, F.format_string("%d.25", "p_size"), F.lit(""))).when(
+        layout == 1, F.concat_ws(",", name, squad, F.when(F.col("p_size") % 2 == 0, "2015/2016").otherwise(""), F.format_string("%d", F.col("p_size") * 10))).otherwise(F.concat_ws(",", squad, age))
+    header = F.when(layout == 0, "Player,Squad,Age,xG,Save%").when(layout == 1, "player , TEAM,Season,Min").otherwise("Squad,Age")
+    lines = part.select(file.alias("source_file"), F.col("p_partkey").alias("line"), line.alias("value"))
+    return lines.unionByName(part.select(file.alias("source_file"), F.lit(-1).cast("long").alias("line"), header.alias("value")).distinct())
+
+
+@query
+def csv_layouts(spark, d):
+    return player_stats.from_lines(_csv_lines(spark, d)).drop("raw_payload")
+
+
 # ------------------------------------------------------------------ silver
 
 
@@ -213,11 +271,8 @@ def inplay_features(spark, d):
 
 @query
 def inplay_from_json(spark, d):
-    """The same features from raw payloads through the silver layer, for the sliced competitions and season."""
-    e = inplay.parse_event_objects(_silver_events(spark, d))
-    f = inplay.build(e, _silver_matches(spark, d), SLICE_COMPETITIONS, SLICE_SEASON)
-    return f.select("match_id", "minute", "home_score_now", "away_score_now", "diff_xg_cum", "home_xg_last_10",
-                    "away_shots_last_10", "home_red_cards", "away_passes_cum", "target_result_final")
+    """The same features from raw payloads through the silver layer."""
+    return inplay.build(inplay.parse_event_objects(_silver_events(spark, d)), _silver_matches(spark, d))
 
 
 @query
@@ -758,11 +813,12 @@ def recommendation_rank(spark, d):
 
 
 def _requests(spark, d):
-    """One coupon request per user of the events table: eight matches around the user id."""
+    """One coupon request per user of the events table: 1 to 40 matches around the user id, 400 for every 50th user."""
     n = sample.table(spark, d, "customer").count()
     users = sample.table(spark, d, "events").select("user_id").distinct()
     risk = F.element_at(F.array(F.lit("low"), F.lit("medium"), F.lit("high")), (F.col("user_id") % 3 + 1).cast("int"))
-    wanted = F.array(*[(F.col("user_id") * 3 + i) % n for i in range(8)])
+    size = F.when(F.col("user_id") % 50 == 0, 400).otherwise(F.col("user_id") % 40 + 1).cast("int")
+    wanted = F.transform(F.sequence(F.lit(1), size), lambda i: (F.col("user_id") * 3 + i) % n)
     return users.select("user_id", risk.alias("target_risk"), (F.col("user_id") % 4 + 1).cast("int").alias("max_selections"),
                         F.array_distinct(wanted).alias("match_ids"))
 

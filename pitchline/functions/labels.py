@@ -53,9 +53,24 @@ def fair_odd(probability: Column) -> Column:
     return F.when(probability > 0, 1 / probability)
 
 
+def two_decimals(value: Column) -> Column:
+    """Two decimals of a number from 1 on, rounded half to even on its exact binary value.
+
+    Its fraction is a whole number of steps of 2**-52, so integers hold it exactly. Other numbers are formatted by
+    their shortest decimal text.
+    """
+    whole = F.floor(value)
+    steps = ((value - whole) * float(1 << 52)).cast("long") * 100
+    cents, rest, half = F.shiftright(steps, 52), steps.bitwiseAND(F.lit((1 << 52) - 1)), F.lit(1 << 51)
+    up = (rest > half) | ((rest == half) & (cents % 2 == 1))
+    total = whole * 100 + cents + F.when(up, 1).otherwise(0)
+    text = F.concat(F.floor(total / 100).cast("string"), F.lit("."), F.lpad((total % 100).cast("string"), 2, "0"))
+    return F.when((value >= 1) & (value < 1e12), text).otherwise(F.format_string("%.2f", value))
+
+
 def fair_odd_text(probability: Column) -> Column:
     """Two decimals, '-' when there is no odd."""
-    return F.when(probability > 0, F.format_string("%.2f", 1 / probability)).otherwise("-")
+    return F.when(probability > 0, two_decimals(1 / probability)).otherwise("-")
 
 
 def comparison_shares(home: Column, away: Column) -> Column:

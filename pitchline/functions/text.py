@@ -14,6 +14,11 @@ from pyspark.sql import types as T
 _SPACES = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 
+def stripped(text: Column) -> Column:
+    """Outer white space removed, as Python's str.strip() sees it."""
+    return F.regexp_replace(text, f"^{_SPACES}|{_SPACES}$", "")
+
+
 def simple_name(name: Column) -> Column:
     """Lower case, runs of white space become one blank, ends trimmed; NULL becomes ''."""
     return F.coalesce(F.trim(F.regexp_replace(F.lower(name), _SPACES, " ")), F.lit(""))
@@ -45,7 +50,3 @@ def sorted_tokens(name: Column) -> Column:
     """Words of an already simplified name in ascending order, joined by blanks."""
     return F.array_join(F.array_sort(F.split(name, " ")), " ")
 
-
-def first_usable(*columns: Column) -> Column:
-    """First value that is not NULL, '', 'nan' or 'NaN'."""
-    return F.coalesce(*[F.when(~c.isin("", "nan", "NaN"), c) for c in columns])

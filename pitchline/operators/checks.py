@@ -76,9 +76,11 @@ def require_unique(df: DataFrame, keys: list[str]) -> None:
 
 
 def require_domain(df: DataFrame, column: str, allowed: list[str]) -> None:
-    bad = outside_domain(df, column, allowed).limit(20).collect()
-    if bad:
-        raise ValueError(f"{column} outside {allowed}: {sorted(r[column] for r in bad)}")
+    bad = outside_domain(df, column, allowed)
+    found = bad.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
+    if found["n"]:
+        examples = [r[column] for r in bad.orderBy(F.desc("rows"), column).limit(20).collect()]
+        raise ValueError(f"{column} outside {allowed}: {found['n']} values in {found['rows']} rows, such as {examples}")
 
 
 def require_no_nulls(df: DataFrame, columns: list[str]) -> None:

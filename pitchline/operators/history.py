@@ -8,6 +8,9 @@ carry the last rows over. The largest group across blocks is bounded by the cale
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,22 +57,25 @@ def with_recent(
 ) -> DataFrame:
     """Adds ``played_before`` and ``recent``: up to ``n`` earlier rows of the key, oldest first.
 
-    Order is (date, tie); the row itself and anything later are excluded.
+    Order is (date, tie); the row itself and anything later are excluded. Rows without a date or a key have no
+    history and are in nobody else's.
     """
     fields = list(dict.fromkeys([date, tie, *payload]))
     rows = rows.withColumn("_block", F.floor(F.unix_date(date) / block_days))
     group = [*keys, "_block"]
     inside = Window.partitionBy(*group).orderBy(date, tie)
     item = F.struct(*fields)
+    placed = reduce(and_, [F.col(c).isNotNull() for c in group])
+    ordered = rows.filter(placed)
 
     last = (
-        rows.select(*group, *[c for c in fields if c not in group])
+        ordered.select(*group, *[c for c in fields if c not in group])
         .withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc(date), F.desc(tie))))
         .filter(F.col("_r") <= n)
         .groupBy(*group)
         .agg(F.sort_array(F.collect_list(item)).alias("_last"))
     )
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = ordered.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
     across = Window.partitionBy(*keys).orderBy("_block")
     carried = sizes.join(last, group).select(
         *group,
@@ -79,11 +85,12 @@ def with_recent(
     local = rows.withColumn("_in", F.collect_list(item).over(inside.rowsBetween(-n, -1))).withColumn(
         "_pos", F.row_number().over(inside)
     )
-    joined = local.join(carried, group)
+    joined = local.join(carried, group, "left")
     seen = F.concat("_carry", "_in")
+    none = F.slice("_in", F.lit(1), F.lit(0))
     return (
-        joined.withColumn("recent", F.slice(seen, F.greatest(F.size(seen) - n + 1, F.lit(1)), n))
-        .withColumn("played_before", F.col("_before") + F.col("_pos") - 1)
+        joined.withColumn("recent", F.when(placed, F.slice(seen, F.greatest(F.size(seen) - n + 1, F.lit(1)), n)).otherwise(none))
+        .withColumn("played_before", F.when(placed, F.col("_before") + F.col("_pos") - 1).otherwise(0).cast("long"))
         .drop("_block", "_in", "_pos", "_carry", "_before")
     )
 

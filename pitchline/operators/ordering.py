@@ -74,13 +74,13 @@ def _floor_share(n: int, share: float) -> int:
 
 
 def split_by_rows(df: DataFrame, train: float = 0.70, valid_end: float = 0.85) -> DataFrame:
-    """70/15/15 by (match_date, match_id); one row per match expected."""
+    """70/15/15 by (match_date, match_id); one row per match expected. Rows without a date or id get no split."""
     return _label(df, df.select("match_date", "match_id"), train, valid_end)
 
 
 def split_by_match(df: DataFrame, train: float = 0.70, valid: float = 0.15, minimum: int = 10) -> DataFrame:
     """Split where all rows of a match go to the same side; fewer than ``minimum`` matches is an error."""
-    keys = df.select("match_date", "match_id").distinct()
+    keys = df.select("match_date", "match_id").dropna().distinct()
     n = keys.count()
     if n < minimum:
         raise ValueError(f"{n} matches are too few for a time split, {minimum} needed")
@@ -88,12 +88,12 @@ def split_by_match(df: DataFrame, train: float = 0.70, valid: float = 0.15, mini
 
 
 def _label(df: DataFrame, keys: DataFrame, train: float, valid_end: float, n: int | None = None) -> DataFrame:
+    keys = keys.dropna()
     n = keys.count() if n is None else n
     first, second = cut_at(keys, [_floor_share(n, train), _floor_share(n, valid_end)])
     day, ident = F.col("match_date"), F.col("match_id")
-    return df.withColumn(
-        "split", F.when(first.before(day, ident), "train").when(second.before(day, ident), "valid").otherwise("test")
-    )
+    split = F.when(first.before(day, ident), "train").when(second.before(day, ident), "valid").otherwise("test")
+    return df.withColumn("split", F.when(day.isNotNull() & ident.isNotNull(), split))
 
 
 def exact_medians(df: DataFrame, columns: list[str], accuracy: int = 10000) -> dict[str, float | None]:

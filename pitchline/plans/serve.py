@@ -143,7 +143,7 @@ def recommendations(offers: DataFrame) -> DataFrame:
 
 
 def coupon_picks(requests: DataFrame, offers: DataFrame) -> DataFrame:
-    """Per request the best offers of its risk level, at most max_selections.
+    """Per request the best offers of its risk level, at most max_selections, and one outcome of a match.
 
     Requests list (user_id, target_risk, max_selections, match_ids). The list is exploded and
     joined to the offers, so the rows per user are those the user asked for. A first cut per
@@ -157,9 +157,9 @@ def coupon_picks(requests: DataFrame, offers: DataFrame) -> DataFrame:
     )
     best = [F.desc("recommendation_score"), "match_id", "outcome"]
     fit = fit.withColumn("_slice", F.pmod(F.xxhash64("match_id"), F.lit(64)))
-    for keys in (["user_id", "_slice"], ["user_id"]):
+    for keys, most in ((["user_id", "match_id"], F.lit(1)), (["user_id", "_slice"], F.col("max_selections")), (["user_id"], F.col("max_selections"))):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*best))
-        fit = fit.withColumn("position", place).filter(F.col("position") <= F.col("max_selections"))
+        fit = fit.withColumn("position", place).filter(F.col("position") <= most)
     return fit.select(
         "user_id", "position", "match_id", "outcome", "model_probability", "market_odd", "recommendation_score"
     )

@@ -65,15 +65,6 @@ LINEUP_PLAYER = _with(
 )
 LINEUP_PAYLOAD = _with(_text("team_id", "team_name"), lineup=T.ArrayType(LINEUP_PLAYER))
 
-RAW = {
-    "raw_matches": "raw_match_id long, source_dataset string, source_file string, payload string, loaded_at timestamp",
-    "raw_events": "raw_event_id long, source_dataset string, source_file string, source_match_id string, "
-    "payload string, loaded_at timestamp",
-    "raw_lineups": "raw_lineup_id long, source_dataset string, source_file string, source_match_id string, "
-    "payload string, loaded_at timestamp",
-    "raw_player_stats": "raw_fbref_player_id long, source_file string, payload string, loaded_at timestamp",
-}
-
 # Fixed values. Player statistics file: output column -> (type, header names accepted, first present wins).
 PLAYER_STATS_HEADERS: dict[str, tuple[str, list[str]]] = {
     "season_name": ("string", ["season"]),
@@ -102,6 +93,12 @@ PLAYER_STATS_HEADERS: dict[str, tuple[str, list[str]]] = {
 }
 DEFAULT_STATS_SEASON = "2025/2026"
 
+# CSV cells that mean a missing value.
+MISSING_CELLS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 # Fixed values. Season statistics from a raw payload: output column -> (type, payload fields, first usable wins).
 SEASON_STATS_FIELDS: dict[str, tuple[str, list[str]]] = {
     "matches_played": ("int", ["Playing Time_MP", "MP", "matches", "Matches"]),
@@ -124,6 +121,7 @@ SEASON_STATS_FIELDS: dict[str, tuple[str, list[str]]] = {
     "yellow_cards": ("int", ["Performance_CrdY", "CrdY", "yellow_cards"]),
     "red_cards": ("int", ["Performance_CrdR", "CrdR", "red_cards"]),
 }
+# Fixed values. Identity of a statistics row: output column -> (type, payload fields, first usable wins).
 STATS_IDENTITY_FIELDS: dict[str, tuple[str, list[str]]] = {
     "player_name": ("string", ["Player", "player", "player_name"]),
     "nationality": ("string", ["Nation", "nation", "nationality"]),
@@ -133,5 +131,6 @@ STATS_IDENTITY_FIELDS: dict[str, tuple[str, list[str]]] = {
     "competition_name": ("string", ["Comp", "competition", "league"]),
 }
 
+# The competitions and the season that the silver layer is built for.
 TARGET_COMPETITIONS = ["Bundesliga", "La Liga", "Ligue 1", "Premier League", "Serie A"]
 TARGET_SEASON = "2015/2016"

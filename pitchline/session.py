@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,16 +25,12 @@ def get_spark(app: str = "pitchline", master: str | None = None, **conf: str) ->
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that later passes read files and survive lost executors.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Only a session in local
-    mode that names none (tests) gets a temporary folder.
+    The folder is the one named in ``spark.checkpoint.dir``. Only where the session names none, one inside its
+    warehouse is set, which driver and executors share as well.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="pitchline-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint")
     return df.checkpoint(eager=True)

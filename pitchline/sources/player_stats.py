@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.functions.casts import lenient_double, lenient_int
 from pitchline.functions.paths import base_name
-from pitchline.functions.text import folded_name
-from pitchline.schemas import DEFAULT_STATS_SEASON, PLAYER_STATS_HEADERS
-from pitchline.sources.readers import NoInputFiles, any_case_glob, read_csv
+from pitchline.functions.text import folded_name, stripped
+from pitchline.schemas import DEFAULT_STATS_SEASON, MISSING_CELLS, PLAYER_STATS_HEADERS
+from pitchline.sources.readers import NoInputFiles, any_case_glob
 from pitchline.sources.writers import row_payload
 
 _CAST = {"string": lambda c: c, "int": lenient_int, "double": lenient_double}
@@ -23,18 +25,21 @@ def resolve_header(columns: list[str], names: list[str]) -> str | None:
     return next((present[n] for n in names if n in present), None)
 
 
-def normalise(df: DataFrame, source_file: Column) -> DataFrame:
-    """Fixed schema from one header layout. Without a player column the result is empty."""
-    headers = {name: resolve_header(df.columns, accepted) for name, (_, accepted) in PLAYER_STATS_HEADERS.items()}
+def normalise(df: DataFrame, source_file: Column, columns: list[str] | None = None) -> DataFrame:
+    """Fixed schema from one header layout (``columns``, all by default). Without a player column the result is empty.
+
+    Cells that say missing are NULL, as is a name of white space only.
+    """
+    columns = df.columns if columns is None else columns
+    headers = {name: resolve_header(columns, accepted) for name, (_, accepted) in PLAYER_STATS_HEADERS.items()}
     player = headers["player_name"]
 
     def value(name: str, dtype: str) -> Column:
         header = headers[name]
         if header is None:
             return F.lit(None).cast(dtype)
-        # an empty CSV cell is already NULL; NaN text counts as missing too
         text = F.col(f"`{header}`").cast("string")
-        return _CAST[dtype](F.when(~text.isin("", "nan", "NaN"), text))
+        return _CAST[dtype](F.when(~text.isin(MISSING_CELLS), text))
 
     typed = {name: value(name, dtype) for name, (dtype, _) in PLAYER_STATS_HEADERS.items()}
     typed["season_name"] = F.coalesce(typed["season_name"], F.lit(DEFAULT_STATS_SEASON))
@@ -43,24 +48,56 @@ def normalise(df: DataFrame, source_file: Column) -> DataFrame:
         *[c.alias(n) for n, c in typed.items()],
         folded_name(typed["squad_name"]).alias("normalized_squad_name"),
         folded_name(typed["player_name"]).alias("normalized_player_name"),
-        row_payload(df.columns).alias("raw_payload"),
+        row_payload(columns).alias("raw_payload"),
     )
-    return rows.filter(F.lit(player is not None) & (F.trim("player_name") != ""))
+    return rows.filter(F.lit(player is not None) & (stripped(F.col("player_name")) != ""))
 
 
-def read_player_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """All CSV files below the folder, one scan per distinct header line; no file is an error."""
-    headers = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", any_case_glob("csv"))
-        .text(folder)
-        .select(F.trim(F.substring_index("value", "\n", 1)).alias("header"), F.col("_metadata.file_path").alias("path"))
-    )
-    layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header")
-    parts = [
-        normalise(read_csv(spark, layout.paths), base_name(F.col("_metadata.file_path"))) for layout in layouts.collect()
-    ]
+def layouts(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Header line of every file (source_file, header), and the distinct ones, sorted.
+
+    ``lines`` has (source_file, line, value); the first line of a file is its header. Only the distinct header lines
+    come to the driver: their number is that of the layouts, not of the files.
+    """
+    headers = lines.groupBy("source_file").agg(F.min_by("value", "line").alias("header"))
+    return headers, [r.header for r in headers.select("header").distinct().orderBy("header").collect()]
+
+
+def from_lines(lines: DataFrame, first_lines: DataFrame | None = None) -> DataFrame:
+    """Player statistics from the lines (source_file, line, value) of CSV files with any headers."""
+    headers, found = layouts(lines if first_lines is None else first_lines)
+    kept = lines.join(headers, "source_file").filter((F.col("value") != F.col("header")) & (stripped(F.col("value")) != ""))
+    parts = []
+    for header in found:
+        names = next(csv.reader([header.removeprefix("\ufeff")]))
+        names = [n if names.index(n) == i else f"{n}.{names[:i].count(n)}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        cells = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ").replace(",", ", "), {"escape": '"'})
+        rows = kept.filter(F.col("header") == header).select(F.col("source_file").alias("_file"), cells.alias("_cells"))
+        rows = rows.select("_file", *[F.col(f"_cells.c{i}").alias(n) for i, n in enumerate(names)])
+        parts.append(normalise(rows, base_name(F.col("_file")), names))
     if not parts:
-        raise NoInputFiles(f"no CSV file under {folder}")
+        raise NoInputFiles("no CSV lines")
     return reduce(DataFrame.unionByName, parts)
+
+
+def read_player_stats(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
+    """All CSV files below the folder, whatever their headers; no file is an error.
+
+    Large files are split among tasks. Only with ``multi_line`` may quoted cells hold line breaks; each file is then
+    read by one task.
+    """
+    found = any_case_glob("csv")
+    place = [F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("line"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.text(folder, recursiveFileLookup=True, pathGlobFilter=found).select(*place, "value")
+    first = lines.filter("start = 0").drop("start")
+    if first.isEmpty():
+        raise NoInputFiles(f"no CSV file under {folder}")
+    if not multi_line:
+        return from_lines(lines.drop("start"), first)
+    widest = max(len(next(csv.reader([h]))) for h in layouts(first)[1])
+    cells = [f"c{i}" for i in range(widest)]
+    records = spark.read.schema(", ".join(f"{c} string" for c in cells)).option("recursiveFileLookup", True).option("pathGlobFilter", found)
+    records = records.option("escape", '"').option("multiLine", True).csv(folder).select(*place, *cells)
+    as_line = F.to_csv(F.struct(*cells), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    return from_lines(records.select("source_file", "line", as_line.alias("value")))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from pitchline.functions.paths import base_name, match_id_text, target_table
+from pitchline.functions.paths import match_id_text, target_table
 
 
 class NoInputFiles(FileNotFoundError):
@@ -33,14 +33,17 @@ def list_files(spark: SparkSession, folder: str, extension: str | None = None) -
     return files.orderBy("path")
 
 
-def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with header, every column as text; the typed layer casts."""
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """CSV with header, every column as text; the typed layer casts.
+
+    Only with ``multi_line`` may quoted cells hold line breaks; each file is then read by one task.
+    """
     return (
         spark.read.option("header", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", any_case_glob("csv"))
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
@@ -52,13 +55,11 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     """
     if not path.lower().endswith(".json"):
         raise ValueError(f"unsupported file extension: {path}")
-    text = spark.read.option("wholetext", True).text(path)
-    first = text.select(F.substring(F.trim("value"), 1, 1).alias("c")).distinct().limit(3)
-    kinds = {r.c for r in first.collect()}
-    if not kinds <= {"[", "{"}:
+    first = spark.read.text(path, wholetext=True).select(F.substring(F.trim(F.translate("value", "\t\r\n", "   ")), 1, 1).alias("c"))
+    if not first.filter(~F.col("c").isin("[", "{")).isEmpty():
         raise ValueError(f"unsupported JSON value in {path}")
     rows = spark.read.option("multiLine", True).json(path)
-    return flatten(rows) if kinds == {"{"} else rows
+    return flatten(rows) if first.filter(F.col("c") == "[").isEmpty() else rows
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -78,33 +79,51 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(quoted(p)).alias(".".join(p)) for p in leaves(df.schema, [])])
 
 
-def read_raw(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
-    """Every JSON file below the folder as raw rows: one payload per array element.
+def json_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(source_file, value) of every JSON file below the folder: whole files, however many lines they have."""
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=any_case_glob("json"))
+    return files.select(F.col("_metadata.file_path").alias("source_file"), "value")
+
 
-    Columns: target_table (by folder name), source_dataset, source_file, source_match_id,
-    row_in_file, payload. Files without a known folder keep a NULL target and can be counted.
+def raw_rows(documents: DataFrame, dataset: str, loaded_at: Column) -> tuple[DataFrame, DataFrame]:
+    """Raw rows of (source_file, value) documents, and the documents that are no JSON array or object.
+
+    An array gives a row for each element, an object one. Keys keep their order and numbers their value. Columns:
+    raw_id (the same for the same place in the same file), target_table (by folder name), source_dataset,
+    source_file, source_match_id, row_in_file, payload, loaded_at. Files without a known folder keep a NULL target and
+    can be counted. Rejects: source_file, reason, loaded_at.
     """
-    elements = T.ArrayType(T.VariantType())
-    documents = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", any_case_glob("json"))
-        .text(folder)
-        .select("value", F.col("_metadata.file_path").alias("source_file"))
+    text = F.regexp_replace("value", r"^\uFEFF?\s*|\s+$", "")
+    is_array = F.startswith(text, F.lit("["))
+    is_object = F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull()
+    items = F.when(is_array, F.from_json(text, T.ArrayType(T.StringType()))).when(is_object, F.array(text))
+    parsed = documents.select("source_file", items.alias("items"))
+    rejects = parsed.filter(F.col("items").isNull()).select(
+        "source_file", F.lit("no JSON array or object").alias("reason"), loaded_at.alias("loaded_at")
     )
-    is_array = F.substring(F.ltrim("value"), 1, 1) == "["
-    items = F.when(is_array, F.from_json("value", elements)).otherwise(F.array(F.parse_json("value")))
-    exploded = documents.select("source_file", F.posexplode(items).alias("row_in_file", "item"))
-    return exploded.select(
+    rows = parsed.select("source_file", F.posexplode("items").alias("row_in_file", "payload"))
+    in_file = F.shiftleft(F.xxhash64("source_file").bitwiseAND(F.lit((1 << 36) - 1)), 27)
+    return rows.select(
+        (in_file + F.col("row_in_file")).alias("raw_id"),
         target_table(F.col("source_file")).alias("target_table"),
         F.lit(dataset).alias("source_dataset"),
         "source_file",
         match_id_text(F.col("source_file")).alias("source_match_id"),
         "row_in_file",
-        F.to_json("item").alias("payload"),
-    )
+        "payload",
+        loaded_at.alias("loaded_at"),
+    ), rejects
+
+
+RAW_IDS = {"raw_matches": "raw_match_id", "raw_events": "raw_event_id", "raw_lineups": "raw_lineup_id", "raw_player_stats": "raw_player_stats_id"}
+
+
+def raw_table(rows: DataFrame, table: str) -> DataFrame:
+    """The rows routed to one raw table, with its id column."""
+    wanted = rows.filter(F.col("target_table") == table)
+    return wanted.withColumnRenamed("raw_id", RAW_IDS[table]).drop("target_table", "row_in_file")
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Adds the base name of the file a row came from; call right after the scan."""
-    return df.withColumn("source_file", base_name(F.col("_metadata.file_path")))
+def read_raw(spark: SparkSession, folder: str, dataset: str, loaded_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Raw rows and rejects of all JSON files below the folder; see :func:`raw_rows`."""
+    return raw_rows(json_documents(spark, folder), dataset, F.current_timestamp() if loaded_at is None else loaded_at)

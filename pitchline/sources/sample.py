@@ -26,12 +26,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of one small file is one task; spread it over the free slots. Large scans stay as they are."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
-
-
 def team_count(spark: SparkSession, folder: str) -> int:
     return table(spark, folder, "supplier").count()
 
@@ -90,7 +84,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     """Silver events without player names and with parsed sub-objects; one row per line item."""
     n = team_count(spark, folder)
     orders = table(spark, folder, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS match_id")
-    rows = spread(table(spark, folder, "lineitem")).join(orders, "l_orderkey")
+    rows = table(spark, folder, "lineitem").join(orders, "l_orderkey")
     kinded = rows.selectExpr(
         "*",
         "CASE WHEN l_quantity <> 1 THEN CAST((l_partkey * 13 + l_suppkey * 7 + l_linenumber * 11) % 96 AS INT) END AS minute",

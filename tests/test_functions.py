@@ -49,12 +49,16 @@ def test_names(spark):
     n = F.col("n")
     got = values(spark, rows, "n string", text.folded_name(n), text.simple_name(n))
     assert got == [("jose maria", "josé maría"), ("s ren x", "søren-x"), (None, ""), (None, ""), ("a b c", "a b c")]
-    assert values(spark, [("nan", "", "x")], "a string, b string, c string", text.first_usable(*map(F.col, "abc"))) == [("x",)]
+    blank = [("\t",), ("\u00a0 x\u2003",), (" a b ",), ("",), (None,)]
+    assert values(spark, blank, "n string", text.stripped(n)) == [("",), ("x",), ("a b",), ("",), (None,)]
 
 
 def test_odds_and_bars(spark):
     got = values(spark, [(0.5,), (0.0,), (None,)], "p double", labels.fair_odd_text(F.col("p")))
     assert got == [("2.00",), ("-",), ("-",)]
+    odds = [1.005, 2.675, 1.125, 1.375, 2.5, 33.335, 1.0, 99.995, 123456.785]
+    got = values(spark, [(o,) for o in odds], "o double", labels.two_decimals(F.col("o")))
+    assert [g[0] for g in got] == [f"{o:.2f}" for o in odds]
     s = labels.comparison_shares(F.col("h"), F.col("a"))
     got = values(spark, [(0.0, 0.0), (0.0, 5.0), (3.0, 1.0), (None, None)], "h double, a double", s["home_pct"], s["away_pct"])
     assert got == [(50, 50), (8, 92), (75, 25), (50, 50)]

@@ -94,7 +94,7 @@ def test_coupons(spark):
                                      "user_id string, target_risk string, max_selections int, match_ids array<long>")
     picks = serve.coupon_picks(requests, offers)
     got = {(r.user_id, r.position): (r.match_id, r.outcome) for r in picks.collect()}
-    assert got == {("u", 1): (1, "H"), ("v", 1): (1, "A"), ("v", 2): (1, "H"), ("w", 1): (1, "H"), ("w", 2): (2, "H"), ("w", 3): (3, "D")}
+    assert got == {("u", 1): (1, "H"), ("v", 1): (1, "A"), ("v", 2): (2, "H"), ("w", 1): (1, "H"), ("w", 2): (2, "H"), ("w", 3): (3, "D")}
     assert {r.user_id: (r.selections, r.total_odd) for r in serve.coupons(picks).collect()} == {"u": (1, 2.0), "v": (2, 18.0), "w": (3, 8.0)}
 
 

@@ -13,7 +13,7 @@ CHECKED = [
     "target_slice", "silver_matches", "silver_events", "lineup_position_minutes", "player_stats_normalized", "first_usable_value",
     "inplay_features", "inplay_from_json", "pregame_features", "match_team_stats", "match_player_stats", "upsert_coalesce",
     "core_season_stats", "season_lookup", "temporal_split_rows", "classification_report", "model_metrics", "recent_form",
-    "comparison_shares", "coupon",
+    "comparison_shares", "coupon", "raw_documents", "raw_routing", "csv_layouts", "inplay_derived", "export_inplay",
 ]
 
 if not os.path.isdir(FOLDER):

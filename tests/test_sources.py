@@ -47,15 +47,47 @@ def test_json_files(spark, tmp_path):
 
 
 def test_raw_rows_are_routed_by_folder(spark, tmp_path):
-    for folder, body in {"matches/2": '[{"match_id": 5}]', "events": '[{"id": "a"}, {"id": "b"}]', "junk": "{}"}.items():
-        (tmp_path / folder).mkdir(parents=True)
-        (tmp_path / folder / "77.json").write_text(body)
-    raw = readers.read_raw(spark, str(tmp_path), "set").collect()
-    got = sorted((r.target_table or "", r.source_match_id, r.row_in_file, r.payload, r.source_dataset) for r in raw)
+    bodies = {
+        "matches/2": '[{"match_id": 5}]', "events": '\ufeff[\n  {"id": "a",\n   "z": 1, "b": 21.0},\n  {"id": "b"}\n]\n',
+        "junk": " {}\n", "lineups": '[{"a": 1},', "players": '"text"', "events/empty": "[]",
+    }
+    for folder, body in bodies.items():
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / "77.json").write_text(body, encoding="utf-8")
+    rows, rejects = readers.read_raw(spark, str(tmp_path), "set")
+    got = sorted((r.target_table or "", r.source_match_id, r.row_in_file, r.payload, r.source_dataset) for r in rows.collect())
     assert got == [
-        ("", "77", 0, "{}", "set"), ("raw_events", "77", 0, '{"id":"a"}', "set"), ("raw_events", "77", 1, '{"id":"b"}', "set"),
+        ("", "77", 0, "{}", "set"), ("raw_events", "77", 0, '{"id":"a","z":1,"b":21.0}', "set"), ("raw_events", "77", 1, '{"id":"b"}', "set"),
         ("raw_matches", "77", 0, '{"match_id":5}', "set"),
     ]
+    assert sorted(r.source_file.split("/")[-2] for r in rejects.collect()) == ["lineups", "players"]
+    assert rows.select("raw_id").distinct().count() == 4 and rows.filter("loaded_at IS NULL").isEmpty()
+    events = readers.raw_table(rows, "raw_events")
+    assert events.columns == ["raw_event_id", "source_dataset", "source_file", "source_match_id", "payload", "loaded_at"] and events.count() == 2
+
+
+def test_json_over_several_lines(spark, tmp_path):
+    (tmp_path / "list.json").write_text('\n[\n {"a": 1},\n {"a":\n 2}\n]\n')
+    (tmp_path / "one.json").write_text('{\n"a": {\n"b": 1}}')
+    assert sorted(r.a for r in readers.read_json(spark, str(tmp_path / "list.json")).collect()) == [1, 2]
+    assert readers.read_json(spark, str(tmp_path / "one.json")).columns == ["a.b"]
+
+
+def test_csv_rows_are_read_once(spark, tmp_path):
+    body = "Player,Squad,Age\n" + "".join(f"P{i},S,{i}\n" for i in range(4))
+    (tmp_path / "a.csv").write_text(body)
+    (tmp_path / "b.csv").write_text(body + "NA,S,1\n\t,S,1\n\u00a0,S,1\nP9,N/A,null\n", encoding="utf-8")
+    rows = player_stats.read_player_stats(spark, str(tmp_path)).collect()
+    assert sorted((r.source_file, r.player_name, r.age) for r in rows if r.player_name != "P9") == sorted((f, f"P{i}", i) for f in ("a.csv", "b.csv") for i in range(4))
+    assert [(r.squad_name, r.age) for r in rows if r.player_name == "P9"] == [(None, None)] and len(rows) == 9
+
+
+def test_csv_cells_over_several_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Player,Squad,Age\n"A\nB","S, ""x""",3\nC,S,4\n')
+    (tmp_path / "b.csv").write_text("Squad,Player\nT,D\n")
+    rows = player_stats.read_player_stats(spark, str(tmp_path), multi_line=True).collect()
+    assert sorted((r.player_name, r.squad_name, r.age) for r in rows) == [("A\nB", 'S, "x"', 3), ("C", "S", 4), ("D", "T", None)]
+    assert sorted(r.Player for r in readers.read_csv(spark, str(tmp_path / "a.csv"), multi_line=True).collect()) == ["A\nB", "C"]
 
 
 def test_payload_keeps_nulls(spark):
