@@ -33,7 +33,7 @@ from pitchline.llm.common import batch_rows, read_table, stored
 
 WINDOW = 13
 BITMAP_BITS = 24  # 2 MB
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
 _SEED = "hash long, pos int, before int, context binary"
