@@ -859,7 +859,15 @@ def player_mapping(spark, d):
 
 
 @query
-def team_mapping(spark, d):
+def mapping_counters(spark, d):
+    """Left rows by status of their mapping, those without any match included."""
+    left = sample.table(spark, d, "supplier").count()
+    found = team_mapping_rows(spark, d)
+    counted = merge.run_counters(found, F.col("mapping_status"))
+    return counted.unionByName(found.agg((F.lit(left) - F.count(F.lit(1))).alias("rows")).select(F.lit("no_match").alias(counted.columns[0]), F.col("rows").alias(counted.columns[1])))
+
+
+def team_mapping_rows(spark, d):
     left = sample.table(spark, d, "supplier").select(F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("team_name"))
     right = (
         sample.table(spark, d, "customer")
@@ -868,41 +876,43 @@ def team_mapping(spark, d):
     return resolve.team_mapping(left, right, SLICE_SEASON)
 
 
-# ------------------------------------------------------------------ models
+@query
+def team_mapping(spark, d):
+    return team_mapping_rows(spark, d)
 
-FOREST = models.ForestSettings(trees=60, depth=8)
-BOOST = models.BoostSettings(rounds=4, depth=3, rate=0.3)
+
+# ------------------------------------------------------------------ models
 
 
 @query
 def rf_predictions(spark, d):
-    model, splits = models.train_forest(_pregame(spark, d), FOREST)
+    model, splits = models.train_forest(_pregame(spark, d))
     return serve.with_odds(models.score_forest(model, splits).drop("probabilities"))
 
 
 @query
 def feature_importances(spark, d):
-    model, _ = models.train_forest(_pregame(spark, d), FOREST)
+    model, _ = models.train_forest(_pregame(spark, d))
     return models.top_importances(model, 30)
 
 
 @query
 def walk_forward(spark, d):
     parts = []
-    for season, _, scored in models.walk_forward(_pregame(spark, d), models.ForestSettings(trees=20, depth=6)):
+    for season, _, scored in models.walk_forward(_pregame(spark, d), models.ForestSettings()):
         parts.append(metrics.scores(scored, [], label=models.LABEL, p_true=models.p_of_truth(models.LABEL)).select(F.lit(season).alias("season_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def inplay_boosting(spark, d):
-    _, _, results = models.train_inplay(_inplay(spark, d), BOOST)
+    _, _, results = models.train_inplay(_inplay(spark, d))
     return results
 
 
 @query
 def gbt_calibration(spark, d):
-    return models.compare_calibrations(inplay.derive(_inplay(spark, d)), BOOST)
+    return models.compare_calibrations(inplay.derive(_inplay(spark, d)))
 
 
 REGISTRY["match_id_from_file"] = REGISTRY.pop("match_id_from_file_")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -213,13 +214,14 @@ class ThreeWayBoost:
 
     @classmethod
     def fit(cls, train: DataFrame, settings: BoostSettings = BoostSettings(), label: str = INPLAY_LABEL) -> ThreeWayBoost:
-        models = {}
-        for c in CLASSES:
-            models[c] = GBTClassifier(
+        def one(c: str):
+            return GBTClassifier(
                 labelCol="is_class", maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.rate,
                 subsamplingRate=settings.rows, featureSubsetStrategy=str(settings.columns), seed=settings.seed,
             ).fit(train.withColumn("is_class", (F.col(label) == c).cast("double")))
-        return cls(models)
+
+        with ThreadPool(len(CLASSES)) as pool:  # rounds are short jobs one after another: the classes' run side by side
+            return cls(dict(zip(CLASSES, pool.map(one, CLASSES), strict=True)))
 
     def raw_scores(self, df: DataFrame) -> DataFrame:
         """s_A, s_D, s_H: each binary model's probability, not normalised."""
