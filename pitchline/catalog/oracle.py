@@ -419,9 +419,10 @@ _DEPENDS: dict[str, list[str]] = {
     "m": ["nt"], "e": ["m"], "lp": ["e"], "ll": ["lp"], "mc": ["e"], "grid": ["mc"], "roll": ["grid"], "pair": ["roll"], "f": ["pair"],
     "tp": ["m"], "hist": ["tp"], "venue": ["tp"], "pos": ["tp"], "links": ["pos"], "dp": ["links", "lp"], "rs": ["links", "e"],
     "ls": ["lp", "st"], "tf": ["hist", "venue", "dp", "rs", "ls"], "tg": ["m"], "pf": ["tf", "tg"], "es": ["e"], "ps": ["ll", "es"],
-    "split": ["m"], "sc": ["split"], "res": ["sc"], "offers": ["sc"], "picks": ["offers"], "raws": ["m", "docs"], "pl": ["ll", "par"], "lut": ["m"],
+    "split": ["m"], "sc": ["split"], "res": ["sc"], "offers": ["sc"], "picks": ["offers"], "raws": ["m", "docs"], "pk": ["lp"], "qk": ["st"], "nr": ["pk", "qk"], "tr": ["pk", "qk"], "won": ["nr", "tr"],
+    "cr": ["tk", "ck"], "tm": ["cr"], "pl": ["ll", "par"], "lut": ["m"],
 }
-_MATERIALIZED = {"m", "e", "lp", "ll", "mc", "grid", "roll", "pair", "hist", "tf", "st", "tp", "pos", "links"}
+_MATERIALIZED = {"m", "e", "lp", "ll", "mc", "grid", "roll", "pair", "pk", "qk", "nr", "tr", "tk", "ck", "cr", "tm", "hist", "tf", "st", "tp", "pos", "links"}
 
 ORACLE: dict[str, str] = {}
 
@@ -442,6 +443,48 @@ def add(name: str, needs: str, body: str) -> None:
     ORACLE[name] = f"WITH {ctes}\n{body}" if order else body
 
 
+# ------------------------------------------------------------------ entity resolution
+
+
+def _words(text: str) -> str:
+    """Lower case, words in order, one blank between."""
+    return f"array_to_string(list_sort(string_split(trim(regexp_replace(lower(coalesce({text}, '')), '\\s+', ' ', 'g')), ' ')), ' ')"
+
+
+def _ratios(left: str, right: str) -> str:
+    """(a, b, r) for all pairs of two lists of short texts: the longest common subsequence with the positions of ``a`` as bits."""
+    return f"""
+SELECT a, b, CASE WHEN length(a) + length(b) = 0 THEN 100.0::DOUBLE ELSE (1.0::DOUBLE - (length(a) + length(b) - 2 * common)::DOUBLE / (length(a) + length(b))) * 100.0::DOUBLE END AS r
+FROM (SELECT a, b, length(a) - bit_count(list_reduce(list_prepend(every, list_transform(string_split(b, ''), lambda c: coalesce(bits[c], 0))),
+        lambda s, x: ((s + (s & x)) | (s - (s & x))) & every)) AS common
+  FROM (SELECT a, (1::BIGINT << length(a)::BIGINT) - 1 AS every, map(letters, list_transform(letters, lambda c: list_sum(list_transform(range(length(a)),
+          lambda i: CASE WHEN substring(a, i + 1, 1) = c THEN 1::BIGINT << i ELSE 0::BIGINT END))::BIGINT)) AS bits
+    FROM (SELECT a, list_distinct(string_split(a, '')) AS letters FROM (SELECT DISTINCT {left}))),
+  (SELECT DISTINCT {right}))"""
+
+
+CTE["pk"] = f"SELECT DISTINCT player_id, player_name, team_name, {_words('player_name')} AS ln, {_words('team_name')} AS lt FROM lp"
+CTE["qk"] = f"SELECT part_key, player_name, squad_name, {_words('player_name')} AS rn, {_words('squad_name')} AS rt FROM st"
+CTE["nr"] = _ratios("ln AS a FROM pk", "rn AS b FROM qk")
+CTE["tr"] = _ratios("lt AS a FROM pk", "rt AS b FROM qk")
+CTE["won"] = """
+SELECT ln, lt, first(part_key ORDER BY score DESC, part_key) AS id, max(score) AS score FROM (
+  SELECT ln, lt, part_key, printf('%.2f', 0.8::DOUBLE * nr.r + 0.2::DOUBLE * tr.r)::DOUBLE AS score
+  FROM (SELECT DISTINCT ln, lt FROM pk), (SELECT rn, rt, min(part_key) AS part_key FROM qk GROUP BY rn, rt), nr, tr
+  WHERE nr.a = ln AND nr.b = rn AND tr.a = lt AND tr.b = rt) GROUP BY ln, lt
+"""
+_STATUS = "CASE WHEN score >= 95 THEN 'auto_approved' WHEN score >= 85 THEN 'needs_review' ELSE 'low_confidence' END"
+CTE["tk"] = f"SELECT s_suppkey AS team_id, s_name AS team_name, {_words('s_name')} AS ln FROM supplier"
+CTE["ck"] = f"SELECT team_id, team_name, {_words('team_name')} AS rn FROM (SELECT c_custkey AS team_id, substring(c_name, 10, 9) || ' Supplier Club ' || c_mktsegment AS team_name FROM customer)"
+CTE["cr"] = _ratios("ln AS a FROM tk", "rn AS b FROM ck")
+CTE["tm"] = f"""
+SELECT team_id, team_id::VARCHAR AS statsbomb_team_id, team_name AS statsbomb_team_name, id::VARCHAR AS fbref_team_id, name AS fbref_team_name,
+  '2015/2016' AS season_name, score AS confidence_score, {_STATUS} AS mapping_status
+FROM tk JOIN (SELECT a, first(team_id ORDER BY score DESC, team_id) AS id, first(team_name ORDER BY score DESC, team_id) AS name, max(score) AS score
+  FROM (SELECT a, team_id, team_name, printf('%.2f', r)::DOUBLE AS score FROM cr JOIN ck ON b = rn) GROUP BY a) ON a = ln WHERE score > 0
+"""
+
+
 def _day(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d')"
 
@@ -689,3 +732,9 @@ add("coupon_total_odds", "picks", "SELECT user_id, count(*) AS selections, round
 _IDS = "(3, 7, 11, 42, 77, 101, 120, 149)"
 add("export_ids", "m", f"SELECT {_KEYS}, match_result, stadium_id, stadium_name, referee_id, referee_name FROM m WHERE match_id IN {_IDS}")
 add("export_inplay", "f", f"SELECT * FROM f WHERE match_id IN {_IDS}")
+add("player_mapping", "won", f"""SELECT player_id, player_id::VARCHAR AS statsbomb_player_id, pk.player_name AS statsbomb_player_name, id::VARCHAR AS fbref_player_id,
+  qk.player_name AS fbref_player_name, team_name AS statsbomb_team_name, squad_name AS fbref_team_name, '2015/2016' AS season_name, score AS confidence_score,
+  {_STATUS} AS mapping_status, 'name/team fuzzy match - score=' || score AS notes
+FROM pk JOIN won USING (ln, lt) JOIN qk ON part_key = id WHERE score > 0""")
+add("team_mapping", "tm", "SELECT * FROM tm")
+add("mapping_counters", "tm", "SELECT mapping_status AS status, count(*) AS rows FROM tm GROUP BY 1 UNION ALL SELECT 'no_match', (SELECT count(*) FROM supplier) - (SELECT count(*) FROM tm)")
