@@ -6,8 +6,8 @@ token counts of its documents, the offset index (where each document's frame sta
 end) and the payload, the frames one after another. ``parts`` has the number of ids before each part. Documents are in
 ascending doc_id order through parts and blocks, so one is found by its doc_id range and decompressed alone.
 
-The dictionary is trained on the ids of at most ``SAMPLE_DOCS`` documents, those with the smallest hashes of doc_id and
-text; it changes only how small the files are. Ids are written with 16 bits where the vocabulary allows it.
+The dictionary is trained on the ids of about ``SAMPLE_DOCS`` documents, chosen by a hash of doc_id and text whose bound
+follows from the number of documents; it changes only how small the files are. Ids are written with 16 bits where the vocabulary allows it.
 
 Cases: null is empty and has the end id only. Null doc_ids come first. Rows that repeat a doc_id stand side by side,
 and many of them are spread over parts. An empty table gives empty files. Extra columns are ignored.
@@ -95,7 +95,8 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) ->
     """Write all documents' ids under ``folder``."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sample = [r["text"] for r in texts.orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_DOCS).collect()]
+    share = int((1 << 40) * min(1.0, SAMPLE_DOCS / max(1, texts.count())))
+    sample = [r["text"] for r in texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < share).select("text").distinct().collect()]
     own = tokenizer(path)
     width = "<u2" if own.library.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
     dictionary = train_dictionary([np.frombuffer(raw, "<u4").astype(width).tobytes() for raw in own.encode(sample)])
