@@ -535,9 +535,15 @@ add("silver_events", "e", f"""SELECT event_id, match_id, event_index, period,
   '00:' || lpad(coalesce(minute, 0)::VARCHAR, 2, '0') || ':' || lpad(second::VARCHAR, 2, '0') || '.000' AS event_timestamp,
   minute, second::DOUBLE AS second, event_index AS possession, team_id AS possession_team_id, team_name AS possession_team_name,
   1 AS play_pattern_id, 'Regular Play' AS play_pattern_name, team_id, team_name, player_id, p_name || ' ' || p_type AS player_name,
-  NULL::INT AS position_id, length(event_type_name) + 10 AS event_type_id, event_type_name, second / 8.0 AS duration,
-  CASE WHEN l_tax > 0.05 THEN 1 END AS under_pressure, NULL::INT AS off_camera, NULL::INT AS out_of_play, location_size,
-  'star' AS source_dataset, {_file('events')} AS source_file FROM e LEFT JOIN part ON p_partkey = player_id""")
+  CASE WHEN player_id % 4 <> 0 THEN (player_id % 25 + 1)::INT END AS position_id, CASE WHEN player_id % 4 <> 0 THEN 'Position ' || (player_id % 25 + 1) END AS position_name,
+  length(event_type_name) + 10 AS event_type_id, event_type_name, second / 8.0 AS duration,
+  CASE WHEN l_tax > 0.05 THEN 1 END AS under_pressure, CASE WHEN player_id % 13 = 0 THEN 1 END AS off_camera, CASE WHEN player_id % 17 = 0 THEN 1 END AS out_of_play,
+  CASE location_size WHEN 1 THEN lx::VARCHAR WHEN 2 THEN lx || ',' || ly END AS location,
+  CASE WHEN event_type_name = 'Pass' THEN ey::VARCHAR END AS pass_payload, shot_outcome AS shot_payload, CASE WHEN event_type_name = 'Carry' THEN ex::VARCHAR END AS carry_payload,
+  CASE WHEN event_type_name = 'Interception' THEN 'Won' END AS interception_payload, CASE WHEN event_type_name = 'Block' THEN 'Save' END AS goalkeeper_payload,
+  CASE WHEN event_type_name = 'Pressure' THEN event_index::VARCHAR END AS tactics_payload, card AS bad_behaviour_payload,
+  (event_type_name = 'Dribble')::INT AS dribble_payload, (event_type_name = 'Duel')::INT AS duel_payload, (event_type_name = 'Clearance')::INT AS clearance_payload,
+  event_id AS raw_payload, 'star' AS source_dataset, {_file('events')} AS source_file FROM e LEFT JOIN part ON p_partkey = player_id""")
 add("json_props", "", """SELECT event_id, event_type, TRY_CAST(props->>'k' AS INT) AS k, TRY_CAST(props->>'k' AS DOUBLE) AS k_real,
   props->>'absent' AS absent FROM events""")
 add("event_location", "e", """SELECT event_id, CASE WHEN location_size = 2 THEN lx END AS start_x, CASE WHEN location_size = 2 THEN ly END AS start_y,
@@ -545,12 +551,13 @@ add("event_location", "e", """SELECT event_id, CASE WHEN location_size = 2 THEN
 add("lineup_headers", "lp", f"SELECT match_id, team_id, team_name, {_file('lineups')} AS source_file, count(*) AS payloads FROM lp GROUP BY ALL")
 add("lineup_players_explode", "ll", """SELECT match_id, team_id, team_name, player_id, player_name,
   CASE WHEN player_id % 2 <> 0 THEN player_name END AS player_nickname, jersey_number, jersey_number AS country_id,
-  'Country ' || jersey_number AS country_name FROM ll""")
+  'Country ' || jersey_number AS country_name, first_position AS positions, player_name AS raw_player_payload,
+  CASE WHEN player_id % 6 = 0 THEN 'Yellow Card' END AS cards_payload FROM ll""")
 add("lineup_position_minutes", "ll", "SELECT match_id, team_id, player_id, first_position AS position_name, starter, minutes_played FROM ll")
 _ST = """season_name, competition_name, squad_name, player_name, pos, age, birth_year, minutes_played, starts, nineties, goals, assists,
   xg, xag, shots_total, shots_on_target, tackles, interceptions, blocks, clearances, aerials_won, clean_sheets, save_pct"""
 add("player_stats_normalized", "st", f"""SELECT source_file, {_ST}, CASE WHEN squad_name IS NOT NULL THEN replace(brand_low, '#', ' ') END AS normalized_squad_name,
-  folded AS normalized_player_name FROM st""")
+  folded AS normalized_player_name, squad_name AS raw_payload FROM st""")
 add("first_usable_value", "par", "SELECT * EXCLUDE normalized_player_name FROM par")
 add("name_keys", "", """SELECT p_partkey AS part_key, CASE WHEN p_size = 49 THEN '' ELSE lower(CASE WHEN p_size % 2 = 1 THEN replace(p_name, 'o', 'ó') ELSE p_name END || ' ' || p_type) END AS simple,
   CASE WHEN p_size <> 49 THEN lower(p_name || ' ' || p_type) END AS folded, CASE WHEN p_size <> 50 THEN replace(lower(p_brand), '#', ' ') END AS squad FROM part""")
@@ -582,8 +589,7 @@ add("pregame_short_form", "pf", f"""SELECT match_id, match_date, home_team_id, a
   {_N4('diff_points_avg')} AS form_diff, {_N4('diff_goals_for_avg')} AS goals_diff, {_N4('diff_goals_against_avg')} AS defense_diff,
   home_days_since_last_match AS home_days_rest, away_days_since_last_match AS away_days_rest, diff_days_rest AS days_rest_diff,
   target_home_win, target_draw, target_away_win, target_over_25, target_btts FROM pf""")
-add("pregame_training_rows", "pf", """SELECT match_id, diff_lineup_defense, diff_home_strength, home_fbref_matched_players, away_fbref_matched_players
-FROM pf WHERE home_matches_played_before >= 5 AND away_matches_played_before >= 5 AND home_fbref_matched_players >= 6 AND away_fbref_matched_players >= 6""")
+add("pregame_training_rows", "pf", """SELECT * FROM pf WHERE home_matches_played_before >= 5 AND away_matches_played_before >= 5 AND home_fbref_matched_players >= 6 AND away_fbref_matched_players >= 6""")
 add("pregame_targets", "tg", "SELECT *, CASE target_result WHEN 'A' THEN 0 WHEN 'D' THEN 1 WHEN 'H' THEN 2 END AS target_code FROM tg")
 
 # ---- statistics
@@ -693,8 +699,7 @@ add("match_list", "m", f"""SELECT {_LIST}, {_day('match_date')} || ' | ' || comp
 add("latest_matches", "m", f"""SELECT match_id, {_day('m.match_date')} AS match_date, competition_name, home_team_name, away_team_name
 FROM m ORDER BY m.match_date DESC, match_id DESC LIMIT 20""")
 add("match_summary", "m", f"SELECT {_LIST}, match_result FROM m WHERE match_id = (SELECT max(match_id) FROM m)")
-add("pregame_by_match", "pf", """SELECT match_id, home_team_name, home_last5_points_avg, away_last5_points_avg, diff_shots_avg FROM pf
-WHERE match_id = (SELECT max(c_custkey) FROM customer)""")
+add("pregame_by_match", "pf", """SELECT * FROM pf WHERE match_id = (SELECT max(c_custkey) FROM customer)""")
 add("team_matches", "m", f"""SELECT {_LIST}, match_result FROM m WHERE (SELECT min(home_team_name) FROM m) IN (home_team_name, away_team_name)
 ORDER BY m.match_date DESC, match_id DESC LIMIT 5""")
 _FORM = """(SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY match_date DESC, match_id DESC) AS position FROM tp)"""

@@ -177,13 +177,15 @@ def silver_matches(spark, d):
 
 @query
 def silver_events(spark, d):
+    """All columns; the location as text, and sub-objects by one of their fields or by whether they are there."""
     e = _silver_events(spark, d)
-    return e.select(
-        "event_id", "match_id", "event_index", "period", "event_timestamp", "minute", "second", "possession",
-        "possession_team_id", "possession_team_name", "play_pattern_id", "play_pattern_name", "team_id", "team_name",
-        "player_id", "player_name", "position_id", "event_type_id", "event_type_name", "duration", "under_pressure",
-        "off_camera", "out_of_play", F.size("location").alias("location_size"), "source_dataset", "source_file",
-    )
+    paths = {"pass": "$.end_location[1]", "shot": "$.outcome.name", "carry": "$.end_location[0]", "interception": "$.outcome.name",
+             "goalkeeper": "$.type.name", "tactics": "$.lineup[0].jersey_number", "bad_behaviour": "$.card.name"}
+    shown = [F.get_json_object(f"{n}_payload", p).alias(f"{n}_payload") for n, p in paths.items()]
+    shown += [F.col(f"{n}_payload").isNotNull().alias(f"{n}_payload") for n in ("dribble", "duel", "clearance")]
+    location = F.when(F.col("location").isNotNull(), F.array_join("location", ",")).alias("location")
+    rest = [c for c in e.columns if not c.endswith("_payload") and c != "location"]
+    return e.select(*rest, location, *shown, F.get_json_object("raw_payload", "$.id").alias("raw_payload"))
 
 
 @query
@@ -213,8 +215,13 @@ def lineup_headers(spark, d):
 
 @query
 def lineup_players_explode(spark, d):
+    """All columns; positions and payloads by one of their fields."""
     p = silver.silver_lineup_players(_curated_lineups(spark, d))
-    return p.drop("positions", "cards_payload", "raw_player_payload")
+    return p.withColumns({
+        "cards_payload": F.get_json_object("cards_payload", "$[0].card_type"),
+        "positions": F.try_element_at("positions", F.lit(1))["position"],
+        "raw_player_payload": F.get_json_object("raw_player_payload", "$.player_name"),
+    })
 
 
 @query
@@ -227,7 +234,7 @@ def lineup_position_minutes(spark, d):
 
 @query
 def player_stats_normalized(spark, d):
-    return _stats(spark, d).drop("raw_payload")
+    return _stats(spark, d).withColumn("raw_payload", F.get_json_object("raw_payload", "$.Squad"))
 
 
 @query
@@ -329,8 +336,7 @@ def pregame_short_form(spark, d):
 
 @query
 def pregame_training_rows(spark, d):
-    rows = pregame.enough_history(_pregame(spark, d))
-    return rows.select("match_id", "diff_lineup_defense", "diff_home_strength", "home_fbref_matched_players", "away_fbref_matched_players")
+    return pregame.enough_history(_pregame(spark, d))
 
 
 @query
@@ -751,7 +757,7 @@ def match_summary(spark, d):
 def pregame_by_match(spark, d):
     f = _pregame(spark, d)
     newest = sample.matches(spark, d).agg(F.max("match_id")).first()[0]
-    return serve.by_match(f, newest).select("match_id", "home_team_name", "home_last5_points_avg", "away_last5_points_avg", "diff_shots_avg")
+    return serve.by_match(f, newest)
 
 
 @query

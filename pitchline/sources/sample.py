@@ -214,6 +214,8 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
             'timestamp', concat('00:', lpad(CAST(coalesce(minute, 0) AS STRING), 2, '0'), ':', lpad(CAST(second AS STRING), 2, '0'), '.000'),
             'minute', minute, 'second', second, 'possession', event_index, 'team', {team}, 'possession_team', {team},
             'player', named_struct('id', player_id, 'name', player_name),
+            'position', CASE WHEN player_id % 4 <> 0 THEN named_struct('id', player_id % 25 + 1, 'name', concat('Position ', player_id % 25 + 1)) END,
+            'off_camera', CASE WHEN player_id % 13 = 0 THEN true END, 'out', CASE WHEN player_id % 17 = 0 THEN true END,
             'type', named_struct('id', length(event_type_name) + 10, 'name', event_type_name),
             'play_pattern', named_struct('id', 1, 'name', 'Regular Play'), 'duration', second / 8,
             'under_pressure', CASE WHEN under_pressure THEN true END, 'location', location,
@@ -227,6 +229,9 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
             'duel', {of('Duel', "'type', named_struct('name', duel_type)")},
             'dribble', {of('Dribble', "'outcome', named_struct('name', dribble_outcome)")},
             'carry', {of('Carry', "'end_location', end_location")},
+            'interception', {of('Interception', "'outcome', named_struct('id', 4, 'name', 'Won')")},
+            'goalkeeper', {of('Block', "'type', named_struct('id', player_id % 9, 'name', 'Save')")},
+            'tactics', {of('Pressure', "'formation', 442, 'lineup', array(named_struct('jersey_number', event_index))")},
             'clearance', {of('Clearance', "'aerial_won', CASE WHEN aerial_won THEN true END")})"""
         ),
     )
@@ -241,7 +246,8 @@ def raw_lineups(spark: SparkSession, folder: str) -> DataFrame:
     player = f"""named_struct('player_id', player_id, 'player_name', player_name,
         'player_nickname', CASE WHEN player_id % 2 = 0 THEN '' ELSE player_name END, 'jersey_number', jersey_number,
         'country', named_struct('id', jersey_number, 'name', concat('Country ', jersey_number)),
-        'positions', filter(array({position}), p -> player_id % 9 <> 0))"""
+        'positions', filter(array({position}), p -> player_id % 9 <> 0),
+        'cards', CASE WHEN player_id % 6 = 0 THEN array(named_struct('time', '45:00', 'card_type', 'Yellow Card')) END)"""
     return lineup_players(spark, folder).selectExpr(
         "match_id * 16777216 + player_id AS raw_lineup_id",
         f"'{DATASET}' AS source_dataset",
