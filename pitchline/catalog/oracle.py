@@ -637,6 +637,9 @@ add("core_events", "e pl", f"""SELECT event_id AS source_event_id, match_id::VAR
   CASE WHEN event_type_name = 'Pass' THEN ex END AS end_x, CASE WHEN event_type_name = 'Pass' THEN ey END AS end_y
 FROM e JOIN part ON p_partkey = player_id LEFT JOIN pl ON normalized_player_name = lower(p_name || ' ' || p_type)""")
 
+add("core_events_second_load", "e", """SELECT event_id AS source_event_id, event_index, CASE WHEN (l_orderkey * 8 + l_linenumber) % 3 = 1 THEN 99 ELSE event_index END AS possession,
+  1 AS has_match, event_id AS raw_payload FROM e""")
+
 # ---- lookups
 add("lookup_with_fallback", "lut", """SELECT match_id, source_id, x.team_name, coalesce(a.id, b.id)::VARCHAR AS found
 FROM (SELECT match_id, CASE WHEN match_id % 2 = 0 THEN home_team_id::VARCHAR ELSE 'no such id' END AS source_id,

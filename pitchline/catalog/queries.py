@@ -510,6 +510,19 @@ def core_events(spark, d):
     )
 
 
+@query
+def core_events_second_load(spark, d):
+    """A second batch that repeats, changes and adds events, applied to the table of a first one."""
+    m, _, teams, players = _core_frames(spark, d)
+    raw = sample.raw_events(spark, d)
+    part = F.col("raw_event_id") % 3
+    changed = F.when(part == 1, F.regexp_replace("payload", '"possession":[0-9]+', '"possession":99')).otherwise(F.col("payload"))
+    second = raw.filter(part < 2).withColumn("payload", changed).withColumn("raw_event_id", F.col("raw_event_id") + 1_000_000_000)
+    first, _ = core.match_events(None, raw.filter(part > 0), core.matches(m), teams, players)
+    rows, _ = core.match_events(first, second.unionByName(second), core.matches(m), teams, players)
+    return rows.select("source_event_id", "event_index", "possession", F.col("match_id").isNotNull().alias("has_match"), F.get_json_object("raw_payload", "$.id").alias("raw_payload"))
+
+
 @query
 def core_season_stats(spark, d):
     m, parsed, teams, players = _core_frames(spark, d)

@@ -265,7 +265,11 @@ def lineups(
 def match_events(
     existing: DataFrame | None, raw: DataFrame, core_matches: DataFrame, team_dimension: DataFrame, players: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(events by (source, event id), last raw id wins; rejected raw events)."""
+    """(events by (source, event id), last raw id wins; rejected raw events by their ids and reason).
+
+    Lookups and the choice of the last row run on ids and names alone. The payload and the other columns join the
+    chosen rows once, and rows of ``existing`` that no new row replaces pass through one anti-join.
+    """
     keyed = raw.withColumn("source_match_id", match_id_text(F.col("source_file"))).withColumn(
         "p", F.from_json("payload", EVENT_PAYLOAD)
     )
@@ -297,16 +301,23 @@ def match_events(
         end_xy["x"].alias("end_x"),
         end_xy["y"].alias("end_y"),
         F.col("payload").alias("raw_payload"),
+        F.xxhash64("payload").alias("_tie"),
     )
+    names = ["source_match_id", "_team_source_id", "_team_name", "_player_name"]
+    key, version = ["source_name", "source_event_id"], ["raw_event_id", "_tie"]
     ours = core_matches.filter(F.col("source_name") == SOURCE)
-    found = attach(flat, ours, {"source_match_id": "source_match_id"}, "match_id", "match_id")
+    found = attach(flat.select(*key, *version, *names), ours, {"source_match_id": "source_match_id"}, "match_id", "match_id")
     found = find_team(found, team_dimension, "_team_source_id", "_team_name", "team_id")
     found = find_player(found, players, "_player_name", "player_id")
     good, rejects = split_rejects(
         found, {"unknown match": F.col("match_id").isNull(), "no event id": F.col("source_event_id").isNull()}
     )
-    updates = good.drop("_team_source_id", "_team_name", "_player_name", "source_match_id")
-    return merge(existing, updates, ["source_name", "source_event_id"], ["raw_event_id"], REPLACE), rejects
+    last = good.groupBy(*key).agg(F.max(F.struct(*version, "match_id", "team_id", "player_id")).alias("last")).select(*key, "last.*")
+    events = flat.drop(*names).join(last, [*key, *version]).dropDuplicates([*key, *version]).drop(*version)
+    if existing is not None:
+        kept = existing.join(last.select(*key), key, "left_anti")
+        events = kept.select(*events.columns).unionByName(events)
+    return events, rejects
 
 
 def source_players(players: DataFrame, core_lineups: DataFrame, team_dimension: DataFrame) -> DataFrame:
