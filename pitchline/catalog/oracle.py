@@ -670,6 +670,7 @@ add("split_summary", "split", f"""SELECT split, count(*) * 90 AS rows, count(*)
   {', '.join(f"count(*) FILTER (match_result = '{c}') * 90 AS n_{c}" for c in 'ADH')} FROM split GROUP BY split""")
 add("league_counts", "m", "SELECT competition_name, season_name, count(*) AS total_matches FROM m GROUP BY ALL")
 add("competition_counts", "m", "SELECT competition_name, count(*) AS total_matches FROM m GROUP BY ALL")
+add("split_competition_counts", "split", "SELECT split, competition_name, count(*) AS matches FROM split GROUP BY ALL")
 add("class_distribution", "split", """SELECT split, match_result, count(*) AS rows, count(*) / (sum(count(*)) OVER (PARTITION BY split))::DOUBLE AS share
 FROM split GROUP BY split, match_result""")
 add("class_shares", "m", "SELECT match_result, count(*) AS rows, count(*) / (sum(count(*)) OVER ())::DOUBLE AS share FROM m GROUP BY match_result")

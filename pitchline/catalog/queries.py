@@ -634,6 +634,12 @@ def split_summary(spark, d):
     return models.split_summary(ordering.split_by_match(_inplay_keys(spark, d)), "match_result")
 
 
+@query
+def split_competition_counts(spark, d):
+    rows = ordering.split_by_rows(sample.matches(spark, d))
+    return rows.groupBy("split", "competition_name").agg(F.count(F.lit(1)).alias("matches"))
+
+
 @query
 def league_counts(spark, d):
     return _silver_matches(spark, d).groupBy("competition_name", "season_name").agg(F.count(F.lit(1)).alias("total_matches")).orderBy("competition_name", "season_name")
