@@ -39,7 +39,7 @@ from pitchline.llm.common import batch_rows, read_table, stored
 
 LENGTH = 100
 GRAM = 40
-SEGMENT = 3 << 20  # window starts read together
+SEGMENT = 1 << 20  # window starts read together
 PLACE_BITS = 23  # of a place among those; the other bits of a gram's hash decide which is smallest
 CHUNK_ROWS = 250_000  # suffixes merged together, about
 HOT_STRETCHES = 20_000
