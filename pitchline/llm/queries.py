@@ -18,5 +18,6 @@ QUERIES = {
 }
 ORACLE = {
     "op5_decontamination": decontaminate.OP5_SQL,
+    "op8_suffix_dedup": suffix_dedup.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }

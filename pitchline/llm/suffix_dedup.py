@@ -412,3 +412,20 @@ def remove_repeats(docs: DataFrame, hot_stretches: int = HOT_STRETCHES) -> DataF
 
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(read_table(spark, folder, "documents"))
+
+
+#: Windows as hexadecimal text; documents are cut into parts first, as taking a part of a long string is slow.
+OP8_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+parts AS MATERIALIZED (SELECT doc_id, start, n, substring(h, 2 * start + 1, 800) AS part FROM (SELECT doc_id, h, n, unnest(range(0, n - 99, 300)) AS start FROM d WHERE n >= 100)),
+w AS (SELECT doc_id, start + j AS i, substring(part, 2 * j + 1, 200) AS s FROM (SELECT doc_id, start, part, unnest(range(least(300, n - 99 - start))) AS j FROM parts)),
+later AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+marked AS (SELECT doc_id, i, coalesce(i > lag(i) OVER o + 100, true)::INT AS opens FROM later WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+spans AS (SELECT doc_id, min(i) AS low, max(i) + 100 AS high FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked) GROUP BY doc_id, span),
+cuts AS (SELECT doc_id, low, high, coalesce(lag(high) OVER o, 0) AS before FROM spans WINDOW o AS (PARTITION BY doc_id ORDER BY low)),
+kept AS (SELECT c.doc_id, sum(high - low) AS gone, count(*) AS n_spans, max(high) AS last, string_agg(substring(h, 2 * before + 1, 2 * (low - before)), '' ORDER BY low) AS part
+         FROM cuts c JOIN d ON c.doc_id = d.doc_id GROUP BY c.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(from_hex(coalesce(part || substring(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
