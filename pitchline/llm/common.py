@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,11 +47,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def batch_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
-    for batch in batches:
-        if batch.num_rows:
-            yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
+SLICE_ROWS = 500  # rows whose values are Python objects at once
 
 
-def utf8(batch: pd.Series) -> list[bytes]:
-    return [b"" if t is None else t.encode() for t in batch]
+def batch_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
+    """Values of the columns, some rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(at, SLICE_ROWS)
+            yield tuple(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns)

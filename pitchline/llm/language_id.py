@@ -37,7 +37,7 @@ PROBES = 3
 POSITIONS_PER_GRAM = 12
 MAX_POSITION_BITS = 22  # 32 MB for up to 64 languages
 MIN_SCORE = 0.4  # a text with less of its n-grams in its best language is rejected
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 18  # texts whose n-grams are held at once
 UNDETERMINED = "und"
 _LETTERS = bytes(b if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -136,14 +136,25 @@ class Filters:
 
 
 def _document_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with each n-gram, by language and batch; code 0 counts the texts."""
+    """Texts with each n-gram, by language and some texts together; code 0 counts the texts."""
+
+    def counted(lang: str, own: list[bytes]) -> pa.RecordBatch:
+        codes, n = np.unique(np.concatenate([np.unique(grams([raw])[0]) for raw in own]), return_counts=True)
+        codes, n = np.r_[np.zeros(1, np.uint64), codes], np.r_[len(own), n]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes.view(np.int64)), pa.array(n)], ["lang", "code", "n"])
+
     for langs, texts in batch_rows(batches, "lang", "text"):
         for lang in sorted(set(langs)):
-            own = [raw for raw in (normalised(t) for x, t in zip(langs, texts) if x == lang) if raw]
-            found = [np.unique(grams([raw])[0]) for raw in own]
-            codes, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            codes, n = np.r_[np.zeros(1, np.uint64), codes], np.r_[len(own), n]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes.view(np.int64)), pa.array(n)], ["lang", "code", "n"])
+            own, size = [], 0
+            for x, text in zip(langs, texts, strict=True):
+                if x == lang and (raw := normalised(text)):
+                    own.append(raw)
+                    size += len(raw)
+                    if size > 4 * CHUNK_BYTES:
+                        yield counted(lang, own)
+                        own, size = [], 0
+            if own:
+                yield counted(lang, own)
 
 
 def _set_bits(bits: int):
@@ -211,8 +222,11 @@ def keep_known(docs: DataFrame, filters: Filters, min_score: float = MIN_SCORE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = shared.value.predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([n != UNDETERMINED and s >= min_score for n, s in zip(names, scores)], pa.bool_()))
+            kept = []
+            for (texts,) in batch_rows(iter([batch]), "text"):
+                names, scores = shared.value.predict(texts)
+                kept += [n != UNDETERMINED and s >= min_score for n, s in zip(names, scores)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
