@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import batch_rows, read_table, stored
+from pitchline.llm.common import batch_rows, read_table, shuffle_partitions, stored
 from pitchline.llm.components import components
 
 SHINGLE = 3
@@ -210,11 +210,12 @@ def _tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(prints: DataFrame, hot_run: int = HOT_RUN) -> DataFrame:
     """Links (u, v) with the components of all links of up to 3 bits between the distinct values of ``print``."""
-    nodes = prints.select("print").distinct()
+    tasks = shuffle_partitions(prints.sparkSession)  # a number of its own keeps small rows that grow from being merged
+    nodes = prints.select("print").distinct().repartition(tasks, "print")
     keyed = nodes.mapInArrow(_keyed, "key long, print long").repartition("key").sortWithinPartitions("key")
     found = stored(keyed.mapInArrow(_links(hot_run), "u long, v long"), "links")
     hot = found.where("u = v").select(F.col("u").alias("print")).distinct()
-    between = hot.repartition("print").mapInArrow(_between, "value long, far long, print long").repartition("value").sortWithinPartitions("value", "far", "print")
+    between = hot.repartition(tasks, "print").mapInArrow(_between, "value long, far long, print long").repartition("value").sortWithinPartitions("value", "far", "print")
     return found.where("u <> v").unionByName(between.mapInArrow(_tied, "u long, v long"))
 
 
