@@ -19,10 +19,10 @@ from functools import lru_cache
 
 import numpy as np
 
-TABLE_BITS = 22
-KEPT_PIECES = 1 << (TABLE_BITS - 1)
+TABLE_BITS = 21
+KEPT_PIECES = 700_000
 KEPT_LENGTH = 48  # bytes
-CHUNK_BYTES = 1 << 20  # texts looked up together
+CHUNK_BYTES = 1 << 19  # texts looked up together
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ"
 _PLAIN = re.compile(f"[\t\n\r -~{_LETTER}]*")
 _UNUSUAL = re.compile(f"[^\t\n\r -~{_LETTER}]")
