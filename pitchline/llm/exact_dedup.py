@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import batch_rows, new_folder, read_table
+from pitchline.llm.common import batch_rows, new_folder, read_table, stored
 
 BUCKET_ROWS = 50_000  # a bucket with more rows is overfull
 BUCKET_BYTES = 64 << 20
@@ -147,9 +147,12 @@ def exact_groups(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes:
     chains = owners.mapInArrow(_chains, "key long, sha binary, chain int")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     groups = index.groupBy("key", "sha").agg(first, F.count(F.lit(1)).alias("group_size")).join(chains, ["key", "sha"])
-    groups = groups.select("key", "sha", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size")
-    return index.select("key", "sha", "doc_id", "row").join(groups, ["key", "sha"]).select(
-        "doc_id", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")
+    groups = groups.where("group_size > 1").select("key", "sha", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size")
+    groups = stored(groups, "exact-groups")  # so that the join with them can split a hot key's rows
+    alone = F.col("group_size").isNull()
+    return index.select("key", "sha", "doc_id", "row").join(groups, ["key", "sha"], "left").select(
+        "doc_id", "row", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("row") == F.col("keep_row"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
