@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pitchline.llm.common import batch_rows, read_table
 
 LIMIT = 4096
-KEPT_PIECES = 300_000  # tables a worker keeps
+KEPT_PIECES = 800_000  # tables a worker keeps
 KEPT_LENGTH = 64  # characters of the longest piece whose table is kept
 BLANK = "▁"
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
@@ -57,6 +57,7 @@ class PrefixCounter:
         self.longest = max(map(len, self.score))
         self.fits: dict[tuple[str, str], bool] = {}
         self.tables: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The tokens of a short string by merging best pairs first, leftmost of equals."""
@@ -84,7 +85,7 @@ class PrefixCounter:
         count, last = [0], [""]
         score, fits, longest = self.score, self.fits, self.longest
         for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - longest), end):
+            for start in range(end - 1, max(-1, end - longest - 1), -1):  # one token fits; most are short
                 token = piece[start:end]
                 if token in score:
                     before = last[start]
@@ -99,10 +100,12 @@ class PrefixCounter:
         return np.array(count[1:], np.int32)
 
     def _kept(self, piece: str) -> bytes:
-        found = self.table(piece).tobytes()
+        found = self.old.get(piece)
+        if found is None:
+            found = self.table(piece).tobytes()
         if len(piece) <= KEPT_LENGTH:
-            if len(self.tables) >= KEPT_PIECES:
-                self.tables.clear()
+            if len(self.tables) >= KEPT_PIECES // 2:
+                self.old, self.tables = self.tables, {}  # the older half goes
             self.tables[piece] = found
         return found
 
@@ -110,8 +113,8 @@ class PrefixCounter:
         """Tokens of text[:0], text[:1], ..., text; the empty text has none, the dummy blank before others counts."""
         if not text:
             return np.zeros(1, np.int32)
-        known, kept = self.tables.get, self._kept
-        tables = [known(p) or kept(p) for p in self.pieces.findall(BLANK + text.replace(" ", BLANK))]
+        kept = self._kept
+        tables = [self.tables.get(p) or kept(p) for p in self.pieces.findall(BLANK + text.replace(" ", BLANK))]
         lengths = np.fromiter(map(len, tables), np.int64, len(tables)) // 4
         counts = np.frombuffer(b"".join(tables), np.int32)
         ends = lengths.cumsum() - 1
