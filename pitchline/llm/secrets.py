@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and a battery of randomness tests with length-aware false-discovery control.
 
 All in DataFrame and SQL functions. Patterns give the base spans (kinds assign, access, hex). Other candidates are whole
-runs of at least 20 of ``A-Za-z0-9+/_=-``; their encoding follows from the characters in use: hex, upper-case
-letters and digits, or base64 with both cases and digits. Three tests ask whether the symbols look random: chi-squared of a uniform
+runs of at least 20 of ``A-Za-z0-9+/_-`` with the ``=`` that pad them; an inner ``=`` ends a run, so the value of NAME=value is a run
+of its own. Their encoding follows from the characters in use: hex, upper-case letters and digits, lower-case letters and digits
+(of base32, or all), or base64 with both cases and digits. Three tests ask whether the symbols look random: chi-squared of a uniform
 alphabet (Wilson-Hilferty), runs above and below the alphabet's middle, and serial correlation of neighbours. A candidate stays
 if the smallest of the three p-values, corrected for being the smallest, is at least ``LEAST_RANDOM``.
 
@@ -32,17 +33,20 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}+"  # runs are whole, so a shorter one never hides a longer
 LEAST = {"assign": 12, "access": 18, "hex": 16, "random": 20}
-RANDOM = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+PADDING = r"={1,6}(?![A-Za-z0-9+/_=-])"  # at the end only
+RANDOM = rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{20,}}+(?:{PADDING})?|[A-Za-z0-9+/_-]{{16,19}}+{PADDING})"
 PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": RANDOM}
 
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base32": "234567abcdefghijklmnopqrstuvwxyz",
+    "lower": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base64": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/",
 }
 # Sums of squares and cubes of the symbols' shares where symbols are as uneven as in text: by rank for hex digits, as in
 # written language otherwise
-UNEVEN = {"hex": (0.138, 0.0311), "upper": (0.0667, 0.0055), "base64": (0.0667, 0.0055)}
+UNEVEN = {"hex": (0.138, 0.0311), "upper": (0.0667, 0.0055), "base32": (0.0667, 0.0055), "lower": (0.0667, 0.0055), "base64": (0.0667, 0.0055)}
 LEAST_RANDOM = 0.001
 FALSE_DISCOVERIES = 0.05
 MATCHES = "array<struct<kind:string,n:int,before:int,length:int,tested:int,value:string>>"
@@ -100,7 +104,9 @@ def tested(candidates: DataFrame) -> DataFrame:
         F.when(value.rlike("^[0-9]+$"), None)
         .when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "hex")
         .when(value.rlike("^[A-Z0-9]+=*$") & value.rlike("[0-9]") & value.rlike("[A-Z]"), "upper")
-        .when(value.rlike("^[A-Za-z0-9+/_-]+={0,2}$") & value.rlike("[a-z]") & value.rlike("[A-Z]") & value.rlike("[0-9]"), "base64")
+        .when(value.rlike("^[a-z2-7]+=*$") & value.rlike("[0-9]") & value.rlike("[a-z]"), "base32")
+        .when(value.rlike("^[a-z0-9]+=*$") & value.rlike("[0-9]") & value.rlike("[a-z]"), "lower")
+        .when(value.rlike("^[A-Za-z0-9+/_-]+=*$") & value.rlike("[a-z]") & value.rlike("[A-Z]") & value.rlike("[0-9]"), "base64")
     )
     symbols = F.translate(F.regexp_replace(value, "=+$", ""), "-_", "+/")
     rows = candidates.withColumn("encoding", encoding).where("encoding IS NOT NULL").withColumn("symbols", F.when(F.col("encoding") == "hex", F.lower(symbols)).otherwise(symbols))

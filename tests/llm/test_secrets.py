@@ -69,6 +69,21 @@ def test_random_strings_are_found_and_ordinary_ones_are_not(spark):
     assert all(rows[100 + i].n_random == 0 for i in range(len(plain)))
 
 
+def test_random_values_of_names_and_urls_are_found(spark):
+    rng = random.Random(7)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    forms = ["AUTH={}", "client_key={}\nNEXT=1", "https://example.org/a/b?sig={}&v=2", "level=info,a_long_name_of_a_field_Number1={} done", "x=={}"]
+    keys = [("".join(rng.choices(base64, k=40 + i % 20)) + "=" * (i % 3), f) for i, f in enumerate(forms * 12)]
+    keys += [("".join(rng.choices(base64[26:62], k=45 + i % 15)), f) for i, f in enumerate([*forms, "see {} there"] * 10)]
+    keys += [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz234567", k=400)), f) for f in [*forms, "see {} there"] * 10]
+    plain = ["name=a_long_name_of_a_function_Number1_that_returns_something", "x=" + "aaaabbbb11" * 5, "y=abcdefghijklmnopqrstuvwxyz0123456789", "1" * 40 + "=" * 9]
+    docs = [(i, f.format(k)) for i, (k, f) in enumerate(keys)] + [(1000 + i, t) for i, t in enumerate(plain)]
+    rows = {r.doc_id: r for r in secrets.secrets(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = [("random", f.index("{}"), f.index("{}") + len(k)) in parsed(rows[i].spans) for i, (k, f) in enumerate(keys)]
+    assert sum(found[:60]) >= 50 and sum(found[60:120]) >= 50 and sum(found[120:]) >= 50
+    assert all(rows[1000 + i].n_random == 0 for i in range(len(plain)))
+
+
 def test_no_python_in_the_plan(spark):
     plan = entry.queries()["op7_secret_scan"](spark, FOLDER)._jdf.queryExecution().toString()
     assert not re.search("EvalPython|MapIn|InPandas|InArrow|InMemoryRelation|PythonUDF", plan)
