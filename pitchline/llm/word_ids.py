@@ -5,8 +5,8 @@ before white space, after a run of letters, and before one unless an apostrophe
 anything but Latin letters and printable ASCII are cut at white space only. A text with other white space or control
 characters, or with the start of a special token, is encoded whole.
 
-Pieces between cuts are looked up, many at once, by a 64-bit hash of their bytes in a table of bounded size; the library
-encodes those that are new. Longer pieces than ``KEPT_LENGTH`` are always encoded.
+Pieces between cuts are looked up, many at once, by a 64-bit hash of their bytes in a table; the library encodes those that are
+new. The table is emptied between chunks of texts when it holds many pieces, and grows where one chunk (a very long text) brings more. Longer pieces than ``KEPT_LENGTH`` are always encoded.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 
-TABLE_BITS = 21
+TABLE_BITS = 21  # of an empty table
 KEPT_PIECES = 700_000
 KEPT_LENGTH = 48  # bytes
 CHUNK_BYTES = 1 << 19  # texts looked up together
@@ -64,17 +64,28 @@ def _hashes(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
 
 
 class _Table:
-    """Ids by hash, with linear probing; many keys at a time."""
+    """Ids by hash, with linear probing; many keys at a time. At most half of the places are taken."""
 
     def __init__(self):
-        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.entry = np.zeros(1 << TABLE_BITS, np.int32)
+        self._clear(TABLE_BITS)
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.count = 0
 
+    def _clear(self, bits: int) -> None:
+        self.bits, self.keys, self.entry = bits, np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
     def _place(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _put(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        todo, place = np.arange(len(keys)), self._place(keys)
+        while len(todo):
+            free = self.keys[place] == 0
+            self.keys[place[free]] = keys[todo[free]]  # of several that take one place the last one has it
+            won = self.keys[place] == keys[todo]
+            self.entry[place[won]] = entries[todo[won]]
+            todo, place = todo[~won], (place[~won] + 1) & ((1 << self.bits) - 1)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Entry of each key, -1 where it is not held."""
@@ -84,7 +95,7 @@ class _Table:
             hit = there == keys[todo]
             found[todo[hit]] = self.entry[place[hit]]
             go = ~hit & (there != 0)
-            todo, place = todo[go], (place[go] + 1) & ((1 << TABLE_BITS) - 1)
+            todo, place = todo[go], (place[go] + 1) & ((1 << self.bits) - 1)
         return found
 
     def add(self, keys: np.ndarray, ids: list[bytes]) -> None:
@@ -93,14 +104,14 @@ class _Table:
         self.first = np.concatenate([self.first, len(self.ids) + sizes.cumsum() - sizes])
         self.size = np.concatenate([self.size, sizes])
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
-        entries, todo, place = self.count + np.arange(len(keys)), np.arange(len(keys)), self._place(keys)
+        entries = self.count + np.arange(len(keys))
         self.count += len(keys)
-        while len(todo):
-            free = self.keys[place] == 0
-            self.keys[place[free]] = keys[todo[free]]  # of several that take one place the last one has it
-            won = self.keys[place] == keys[todo]
-            self.entry[place[won]] = entries[todo[won]]
-            todo, place = todo[~won], (place[~won] + 1) & ((1 << TABLE_BITS) - 1)
+        if 2 * self.count > len(self.keys):
+            taken = self.keys != 0
+            held = self.keys[taken], self.entry[taken]
+            self._clear(self.count.bit_length() + 1)
+            self._put(*held)
+        self._put(keys, entries)
 
 
 class WordTokenizer:

@@ -1,3 +1,4 @@
+import signal
 import zlib
 from collections import defaultdict
 
@@ -6,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from fixture_rows import FOLDER, ODD
-from pitchline.llm import id_files, packing, token_counts
+from pitchline.llm import id_files, packing, token_counts, word_ids
 from pitchline.llm.word_ids import WordTokenizer, vocabulary_path
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -171,3 +172,24 @@ def test_pieces_equal_whole_texts():
         samples = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(1500)]
         for text, ids in zip(samples, own.encode(samples), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == own.library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_text_with_more_pieces_than_the_table_has_places(monkeypatch):
+    def late(*_):
+        raise TimeoutError("the table is full")
+
+    monkeypatch.setattr(word_ids, "TABLE_BITS", 6)
+    monkeypatch.setattr(word_ids, "KEPT_PIECES", 40)
+    own = WordTokenizer(vocabulary_path("word_bpe_49k.json"))
+    texts = ["a few words", " ".join(map(str, range(3000))), None, "w" * 60 + " 17 " + "x" * 60, " ".join(f"w{i}" for i in range(500))]
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(60)
+    try:
+        for _ in range(2):
+            for text in texts:  # a chunk each, then all in one
+                assert np.frombuffer(next(own.encode([text])), "<u4").tolist() == whole("word_bpe_49k.json", text)
+            for text, ids in zip(texts, own.encode(texts), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == whole("word_bpe_49k.json", text)
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
