@@ -1,6 +1,6 @@
 """Language identification by n-gram filters that hold a bit for every language.
 
-Training: of at most about ``TRAIN_DOCS`` labelled texts of each language (by a hash of the text), the byte n-grams and the share of
+Training: of at most about ``TRAIN_DOCS`` distinct labelled texts of each language (by a hash of the text; copies count once), the byte n-grams and the share of
 the language's texts that have them. An n-gram belongs to a language if that share is at least ``MIN_SHARE`` and
 at least ``RELATIVE`` times the largest share it has in any. As shares are bounded below, the number of n-grams depends on
 the lengths of texts and not on how many there are.
@@ -170,11 +170,12 @@ def _set_bits(bits: int):
 def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> Filters:
     """Filters from the texts and non-null languages of ``labelled``."""
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row a language
+    key = F.xxhash64("text")
+    sizes = {r["lang"]: r["count"] for r in labelled.select("lang", key).distinct().groupBy("lang").count().collect()}  # a row a language
     if not sizes:
         return Filters([], 1, np.zeros((2, 1), np.uint64), np.zeros(0))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, train_docs / n))])
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    sample = labelled.where(F.pmod(key, F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).distinct()
     counts = sample.mapInArrow(_document_grams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     texts = {r["lang"]: r["n"] for r in sample.mapInArrow(_document_counts, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")).collect() if r["n"]}
     languages = sorted(texts)

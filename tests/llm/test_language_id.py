@@ -57,3 +57,16 @@ def test_short_clean_texts_are_kept_and_noise_is_rejected(spark):
     assert language_id.keep_known(docs, filters).count() >= 0.99 * docs.count()
     noise = spark.createDataFrame([(1, "zxqj vkwpz qqxz jjkx"), (2, "12345 !!!"), (3, None)], "doc_id long, text string")
     assert language_id.keep_known(noise, filters).count() == 0
+
+
+def test_copies_count_once_in_training(spark):
+    words = [f"{a}{b}o{a}{b}" for a in "bcdfg" for b in "aeiu"]
+    rows = [("aa", f"{w} {w[::-1]}") for w in words] + [("aa", "the hot line")] * 3000
+    filters = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert (filters.shares([language_id.normalised(t) for _, t in rows[:21]]) > 0.9).all()
+
+
+def test_a_language_of_few_distinct_texts_is_learned(spark):
+    rows = [(f"l{i}", f"only text {i}") for i in range(4) for _ in range(3000)] + [("many", f"text of number {i}x") for i in range(3000)]
+    filters = language_id.train(spark.createDataFrame(rows, "lang string, text string"), train_docs=5)
+    assert filters.languages[:4] == ["l0", "l1", "l2", "l3"]
