@@ -3,8 +3,8 @@
 A text is normalised (every run of ASCII white space becomes one blank) and hashed to 64 bits. The directory has
 2**depth slots, one for each value of the hash's leading bits; it doubles until no bucket is overfull, and buckets that
 are not overfull keep fewer bits. The index is written as Parquet, one or more files a bucket, in the shared folder.
-Owner tasks then read key ranges in key order: entries of one key form a chain, and bytes are compared along it, so two
-texts with one hash stay apart.
+Groups are those of key and sha256 of the text, which decides. Owner tasks, to which keys are dealt by hash, compare bytes along
+each key's chain, but its chain numbers are not used: the index is only the layout of the files.
 
 Large groups: a task that writes keeps one entry with bytes for each distinct text of its rows, and all its other rows
 carry no text. Buckets that stay overfull at the deepest directory (one hot key) are spread over several files, and
