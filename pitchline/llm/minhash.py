@@ -213,12 +213,12 @@ def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 OP11_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, shingle FROM (
     SELECT doc_id, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-      ELSE list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')) END) AS shingle
+      ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
     FROM w WHERE len(words) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (

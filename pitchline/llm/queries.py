@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, minhash, packing, secrets, sharding, simhash, suffix_dedup, token_counts
+from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, lexical_search, minhash, packing, secrets, sharding, simhash, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op11_minhash": minhash.op11_minhash,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
 }
 ORACLE = {
     "op5_decontamination": decontaminate.OP5_SQL,
     "op8_suffix_dedup": suffix_dedup.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
     "op11_minhash": minhash.OP11_SQL,
+    "op12_lexical_search": lexical_search.OP12_SQL,
 }
