@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, lexical_search, minhash, packing, secrets, sharding, simhash, suffix_dedup, token_counts
+from pitchline.llm import decontaminate, exact_dedup, id_files, language_id, lexical_search, minhash, packing, secrets, sharding, simhash, spelling, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op11_minhash": minhash.op11_minhash,
     "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 ORACLE = {
     "op5_decontamination": decontaminate.OP5_SQL,
