@@ -11,12 +11,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.functions.labels import PREGAME_CODES, result_code
 from pitchline.operators.checks import require_columns, require_domain, require_no_nulls, require_rows
+from pitchline.operators.isotonic import IsotonicFit
 from pitchline.operators.metrics import scores
 from pitchline.operators.ordering import exact_medians, split_by_match, split_by_rows
 from pitchline.plans.inplay import DERIVED, FEATURES
@@ -314,24 +314,19 @@ class Calibrated:
 
 def _calibrator(method: str, held: DataFrame, c: str, label: str):
     """Sigmoid or isotonic map from a class score to a probability; equal scores are merged first."""
-    points = held.groupBy(F.col(f"s_{c}").alias("score"), (F.col(label) == c).cast("double").alias("y")).agg(
-        F.count(F.lit(1)).cast("double").alias("w")
-    )
-    points = VectorAssembler(inputCols=["score"], outputCol="x").transform(points)
-    learner = (
-        LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", predictionCol="fit")
-        if method == "sigmoid"
-        else IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", predictionCol="fit")
-    )
-    return learner.fit(points)
+    own = held.select(F.col(f"s_{c}").alias("score"), (F.col(label) == c).cast("double").alias("y"))
+    if method == "isotonic":
+        return IsotonicFit.fit(own, "score", "y")
+    points = VectorAssembler(inputCols=["score"], outputCol="x").transform(own.groupBy("score", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
+    return LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", predictionCol="fit").fit(points)
 
 
 def _apply(model, df: DataFrame, score: str, out: str) -> DataFrame:
+    if isinstance(model, IsotonicFit):
+        return model.transform(df, score, out)
     df = VectorAssembler(inputCols=[score], outputCol="x").transform(df)
-    if model.hasParam("probabilityCol"):
-        model.setRawPredictionCol("_r").setProbabilityCol("_p").setPredictionCol("fit")
-        return model.transform(df).withColumn(out, F.get(vector_to_array("_p"), F.lit(1))).drop("x", "_r", "_p", "fit")
-    return model.transform(df).withColumnRenamed("fit", out).drop("x")
+    model.setRawPredictionCol("_r").setProbabilityCol("_p").setPredictionCol("fit")
+    return model.transform(df).withColumn(out, F.get(vector_to_array("_p"), F.lit(1))).drop("x", "_r", "_p", "fit")
 
 
 def compare_calibrations(features: DataFrame, settings: BoostSettings = CALIBRATION_BOOST) -> DataFrame:
