@@ -8,10 +8,11 @@ labelled by comparing them with literals, with no shuffle.
 from __future__ import annotations
 
 import math
+import struct
 from dataclasses import dataclass
 from datetime import date as Date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 4096
@@ -96,56 +97,75 @@ def _label(df: DataFrame, keys: DataFrame, train: float, valid_end: float, n: in
     return df.withColumn("split", F.when(day.isNotNull() & ident.isNotNull(), split))
 
 
-def exact_medians(df: DataFrame, columns: list[str], accuracy: int = 10000) -> dict[str, float | None]:
-    """Exact median per numeric column, NULLs skipped.
+# ---------------------------------------------------------------- medians
 
-    One approximate pass brackets each median; one exact pass counts the values below the
-    bracket and the distinct values inside it, about 2/accuracy of the rows per column.
+DIGIT = 10  # bits that one round of the selection decides
+_INFINITE, _NAN = 0x7FF << 52, 0x7FF8 << 48
+
+
+def order_key(value: Column) -> Column:
+    """64-bit number in the order of doubles: the bits of the absolute value, negative for negative ones; NULL for NULL.
+
+    NaN comes last, both zeros are 0.
     """
-    as_double = [F.col(c).cast("double").alias(c) for c in columns]
-    data = df.select(*as_double)
-    bounds = data.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[
-            F.percentile_approx(c, [0.5 - 2 / accuracy, 0.5 + 2 / accuracy], accuracy).alias(f"q_{i}")
-            for i, c in enumerate(columns)
-        ],
-    ).first()
-    live = [(i, c) for i, c in enumerate(columns) if bounds[f"n_{i}"]]
-    if not live:
-        return dict.fromkeys(columns)
-    long = data.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.when(F.col(c) < bounds[f"q_{i}"][0], F.lit(float("-inf")))
-                        .when(F.col(c) > bounds[f"q_{i}"][1], F.lit(float("inf")))
-                        .otherwise(F.col(c))
-                        .alias("v"),
-                    )
-                    for i, c in live
-                ]
-            )
-        ).alias("x")
-    ).select("x.*")
-    # one window group per column, holding the distinct values of its bracket only
-    upto = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    counts = (
-        long.filter(F.col("v").isNotNull())
-        .groupBy("i", "v")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("upto", F.sum("rows").over(upto))
+    a = F.abs(value)
+    rough = F.floor(F.log2(a))
+    power = lambda e: F.pow(F.lit(2.0), e)  # exact for powers of two
+    exponent = F.when(power(rough) > a, rough - 1).when((rough < 1023) & (power(rough + 1) <= a), rough + 1).otherwise(rough)
+    normal = (exponent + 1023) * F.lit(1 << 52) + ((a / power(exponent) - 1) * F.lit(float(1 << 52))).cast("long")
+    bits = (
+        F.when(F.isnan(a), F.lit(_NAN)).when(a == float("inf"), F.lit(_INFINITE)).when(a == 0, F.lit(0).cast("long"))
+        .when(a < 2.0**-1022, (a / 2.0**-1074).cast("long")).otherwise(normal)
     )
-    ranks = F.create_map(*[F.lit(x) for i, c in live for x in (i, bounds[f"n_{i}"])])[F.col("i")]
-    for_low, for_high = F.floor((ranks - 1) / 2), F.floor(ranks / 2)
-    holds = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col("rows") <= k)
-    middle = (
-        counts.filter(holds(for_low) | holds(for_high))
-        .groupBy("i")
-        .agg(((F.min("v") + F.max("v")) / 2).alias("median"))
-        .collect()
-    )
-    by_index = {r.i: r.median for r in middle}
-    return {c: by_index.get(i) for i, c in enumerate(columns)}
+    return F.when(value.isNotNull(), F.when(value < 0, -bits).otherwise(bits))
+
+
+def value_of_key(key: int) -> float:
+    return math.copysign(struct.unpack(">d", struct.pack(">q", abs(key)))[0], key)
+
+
+def kth_of_all(df: DataFrame, columns: list[str], places: dict[str, list[int]], digit: int = DIGIT) -> dict[str, list[float]]:
+    """Values at the given places (from 0) in the order of each column, NULLs skipped: radix selection.
+
+    Each round counts, for all columns at once, the next bits of those keys that agree with a wanted value so far. A
+    column is done when what is left is one value. At most 2**digit counts a wanted value come to the driver.
+    """
+    keys = F.array(*[F.struct(F.lit(i).alias("i"), order_key(F.col(c).cast("double")).alias("key")) for i, c in enumerate(columns)])
+    long = df.select(F.explode(keys).alias("x")).select("x.*").where("key IS NOT NULL")
+    wanted = {(i, k): (0, k) for i, c in enumerate(columns) for k in places.get(c, [])}  # prefix so far, place within it
+    found: dict[tuple[int, int], float] = {}
+    bits = 0
+    while wanted:
+        shift = max(0, 64 - bits - digit)
+        if bits:
+            known = {i: sorted({p for (j, _), (p, _) in wanted.items() if j == i}) for i in {i for i, _ in wanted}}
+            prefixes = F.create_map(*[x for i, ps in known.items() for x in (F.lit(i), F.array(*[F.lit(p).cast("long") for p in ps]))])
+            inside = long.where(F.array_contains(F.try_element_at(prefixes, F.col("i")), F.shiftright("key", 64 - bits)))
+        else:
+            inside = long.where(F.col("i").isin(sorted({i for i, _ in wanted})))
+        counted = inside.groupBy("i", F.shiftright("key", shift).alias("prefix")).agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"))
+        counts: dict[int, list] = {}
+        for r in sorted(map(tuple, counted.collect())):
+            counts.setdefault(r[0], []).append(r)
+        rest = {}
+        for (i, k), (prefix, place) in wanted.items():
+            for _, p, rows, low, high in counts[i]:
+                if bits and p >> (64 - bits - shift) != prefix:
+                    continue
+                if place < rows:
+                    if low == high:
+                        found[i, k] = value_of_key(low)
+                    else:
+                        rest[i, k] = (p, place)
+                    break
+                place -= rows
+        wanted, bits = rest, 64 - shift
+    return {c: [found[i, k] for k in places.get(c, [])] for i, c in enumerate(columns)}
+
+
+def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Exact median per numeric column, NULLs skipped; None without any value."""
+    counts = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)]).first()
+    places = {c: sorted({(counts[i] - 1) // 2, counts[i] // 2}) for i, c in enumerate(columns) if counts[i]}
+    middle = kth_of_all(df, columns, places)
+    return {c: (middle[c][0] + middle[c][-1]) / 2 if c in places else None for c in columns}
