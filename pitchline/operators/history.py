@@ -1,9 +1,9 @@
 """What a team did before a match.
 
 A window over a team's whole history would put a team with a third of all matches into one
-task. Histories are therefore cut into blocks of days: rows are windowed inside a block, and
-a much smaller table of block ends (at most ``n`` rows each) is windowed across blocks to
-carry the last rows over. The largest group across blocks is bounded by the calendar.
+task. Rows are therefore dealt by ranges of (team, date, match): a prefix scan in segments. Each range is windowed by
+itself, and the last ``n`` rows of a team in a range are carried to its next ones. A range cuts at most one team, so what is
+carried is one row for each team and range, and a team's longest list is the number of ranges.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.functions.labels import form_letter
+from pitchline.session import cut_lineage
 
 BLOCK_DAYS = 30
 
@@ -53,7 +54,7 @@ def with_recent(
     n: int = 5,
     date: str = "match_date",
     tie: str = "match_id",
-    block_days: int = BLOCK_DAYS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Adds ``played_before`` and ``recent``: up to ``n`` earlier rows of the key, oldest first.
 
@@ -61,12 +62,14 @@ def with_recent(
     history and are in nobody else's.
     """
     fields = list(dict.fromkeys([date, tie, *payload]))
-    rows = rows.withColumn("_block", F.floor(F.unix_date(date) / block_days))
-    group = [*keys, "_block"]
+    group = [*keys, "_range"]
     inside = Window.partitionBy(*group).orderBy(date, tie)
     item = F.struct(*fields)
-    placed = reduce(and_, [F.col(c).isNotNull() for c in group])
-    ordered = rows.filter(placed)
+    placed = reduce(and_, [F.col(c).isNotNull() for c in [*keys, date]])
+    ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written down, so that every use sees the same ranges
+    dealt = cut_lineage(rows.filter(placed).repartitionByRange(ranges, *keys, date, tie).withColumn("_range", F.spark_partition_id()))
+    ordered = dealt
 
     last = (
         ordered.select(*group, *[c for c in fields if c not in group])
@@ -76,22 +79,24 @@ def with_recent(
         .agg(F.sort_array(F.collect_list(item)).alias("_last"))
     )
     sizes = ordered.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-    across = Window.partitionBy(*keys).orderBy("_block")
+    across = Window.partitionBy(*keys).orderBy("_range")
     carried = sizes.join(last, group).select(
         *group,
         F.flatten(F.collect_list("_last").over(across.rowsBetween(-n, -1))).alias("_carry"),
         F.coalesce(F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
     )
-    local = rows.withColumn("_in", F.collect_list(item).over(inside.rowsBetween(-n, -1))).withColumn(
+    local = dealt.withColumn("_in", F.collect_list(item).over(inside.rowsBetween(-n, -1))).withColumn(
         "_pos", F.row_number().over(inside)
     )
     joined = local.join(carried, group, "left")
     seen = F.concat("_carry", "_in")
-    none = F.slice("_in", F.lit(1), F.lit(0))
-    return (
-        joined.withColumn("recent", F.when(placed, F.slice(seen, F.greatest(F.size(seen) - n + 1, F.lit(1)), n)).otherwise(none))
-        .withColumn("played_before", F.when(placed, F.col("_before") + F.col("_pos") - 1).otherwise(0).cast("long"))
-        .drop("_block", "_in", "_pos", "_carry", "_before")
+    whole = joined.withColumn("recent", F.slice(seen, F.greatest(F.size(seen) - n + 1, F.lit(1)), n)).withColumn(
+        "played_before", (F.col("_before") + F.col("_pos") - 1).cast("long")
+    )
+    whole = whole.select(*rows.columns, "recent", "played_before")
+    unplaced = rows.filter(~F.coalesce(placed, F.lit(False)))
+    return whole.unionByName(
+        unplaced.withColumn("recent", F.array().cast(whole.schema["recent"].dataType)).withColumn("played_before", F.lit(0).cast("long"))
     )
 
 
