@@ -697,6 +697,16 @@ add("model_metrics", "res", "SELECT * REPLACE (rows::BIGINT AS rows, round(balan
 add("leaderboard", "res", "SELECT model, split, rows::BIGINT AS rows, round(accuracy, 4) AS accuracy, round(log_loss, 4) AS log_loss FROM res")
 add("best_model", "res", "SELECT model, split, rows::BIGINT AS rows, round(accuracy, 4) AS accuracy, round(log_loss, 4) AS log_loss FROM res WHERE split = 'test'")
 
+# the greatest of the smallest means over all stretches that hold a score
+add("isotonic_steps", "", """WITH p AS (SELECT floor(o_totalprice / 1000) / 1000 AS x, sum((o_orderkey * 7919 % 500000 < o_totalprice)::INT * (o_custkey % 3 + 1)) AS t, sum(o_custkey % 3 + 1) AS w
+  FROM orders GROUP BY 1),
+c AS (SELECT x, w, row_number() OVER (ORDER BY x) AS i, sum(t) OVER (ORDER BY x) AS ct, sum(w) OVER (ORDER BY x) AS cw FROM p),
+z AS (SELECT 0 AS i, 0 AS ct, 0 AS cw UNION ALL SELECT i, ct, cw FROM c),
+means AS (SELECT l.i AS a, r.i AS b, (r.ct - l.ct)::DOUBLE / (r.cw - l.cw) AS mean FROM z l JOIN z r ON r.i > l.i),
+low AS (SELECT a, b AS i, min(mean) OVER (PARTITION BY a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS low FROM means),
+fit AS (SELECT i, max(low) AS value FROM low GROUP BY i)
+SELECT min(x) AS lo, max(x) AS hi, value, sum(w)::DOUBLE AS weight FROM fit JOIN c USING (i) GROUP BY value""")
+
 # ---- serving
 _LIST = f"match_id, {_day('match_date')} AS match_date, competition_name, season_name, home_team_name, away_team_name, home_score, away_score"
 add("match_list", "m", f"""SELECT {_LIST}, {_day('match_date')} || ' | ' || competition_name || ' | ' || home_team_name || ' vs ' || away_team_name AS label FROM m""")

@@ -13,7 +13,7 @@ from pitchline.functions.casts import lenient_double, lenient_int, point
 from pitchline.functions.labels import INPLAY_CODES, PREGAME_CODES, form_letter, result_code, result_label
 from pitchline.functions.paths import base_name, match_id_from_file, match_id_text, target_table
 from pitchline.functions.text import folded_name, simple_name
-from pitchline.operators import checks, history, merge, metrics, ordering, resolve
+from pitchline.operators import checks, history, isotonic, merge, metrics, ordering, resolve
 from pitchline.plans import core, inplay, models, pregame, serve, silver, stats
 from pitchline.schemas import PASS_PAYLOAD
 from pitchline.sources import player_stats, readers, sample
@@ -752,6 +752,16 @@ def best_model(spark, d):
     return metrics.best_by_test_loss(_results(spark, d))
 
 
+@query
+def isotonic_steps(spark, d):
+    """Blocks of the isotonic fit of a 0/1 outcome on order values, weighted."""
+    orders = sample.table(spark, d, "orders")
+    outcome = F.col("o_orderkey") * 7919 % 500000 < F.col("o_totalprice")
+    points = orders.select((F.floor(F.col("o_totalprice") / 1000) / 1000).alias("score"), outcome.cast("int").alias("y"), (F.col("o_custkey") % 3 + 1).alias("w"))
+    blocks = isotonic.isotonic_blocks(points, "score", "y", "w")
+    return blocks.select("lo", "hi", (F.col("total") / F.col("weight")).alias("value"), "weight")
+
+
 # ------------------------------------------------------------------ serving
 
 

@@ -8,8 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pitchline.functions.fuzzy import EncodedStrings, ratio, token_sort_ratio
-from pitchline.operators import checks, merge, metrics, ordering, resolve
+from pitchline.functions.fuzzy import EncodedStrings, ratio, sorted_ratio, token_sort_ratio
+from pitchline.operators import checks, history, isotonic, merge, metrics, ordering, resolve
 
 # ---------------------------------------------------------------- merge
 
@@ -73,7 +73,7 @@ def test_exact_medians(spark):
     frame = pd.DataFrame({"a": rng.normal(size=5001), "b": rng.integers(0, 3, 5001).astype(float), "c": rng.lognormal(size=5001), "d": [None] * 5001})
     frame.loc[::7, "c"] = None
     df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None).values.tolist(), "a double, b double, c double, d double")
-    got = ordering.exact_medians(df, list("abcd"), accuracy=100)
+    got = ordering.exact_medians(df, list("abcd"))
     assert got == {"a": frame.a.median(), "b": frame.b.median(), "c": frame.c.astype(float).median(), "d": None}
 
 
@@ -109,6 +109,32 @@ def test_token_sort_ratio(spark):
     assert got == [100.0, 100.0, 0.0, 0.0]
 
 
+def test_ratio_columns_equal_dynamic_programming(spark):
+    rng = random.Random(2)
+    text = lambda: "".join(rng.choice("abcdé 😀x") for _ in range(rng.choice([0, 1, 5, 20, 61, 62, 63, 64, 100, 124, 125, 200])))
+    df = spark.createDataFrame([(text(), text()) for _ in range(300)] + [("", ""), ("a", "")], "a string, b string").withColumn("r", sorted_ratio(F.col("a"), F.col("b")))
+    assert all(r.r == ratio(r.a, r.b) for r in df.collect())
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString() and "Arrow" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_of_the_name_index_hold(spark):
+    """Letter signatures and shared pairs bound every ratio."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("aaabcdeé") for _ in range(rng.randrange(0, 9)))
+    rows = [(" ".join(sorted([word(), word()])).strip(), " ".join(sorted([word(), word()])).strip()) for _ in range(400)]
+    rows += [(a, a[:k] + a[k + 1:]) for a, _ in rows for k in (1, 4)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    pairs = {c: resolve.name_pairs(F.col(c)) for c in "ab"}
+    differ = F.bit_count(resolve.letter_signature(F.col("a")).bitwiseXOR(resolve.letter_signature(F.col("b"))))
+    shared = F.size(F.array_intersect(pairs["a"], pairs["b"]))
+    ratio_ab = sorted_ratio(F.col("a"), F.col("b"))
+    out = df.select("a", "b", differ.alias("differ"), shared.alias("shared"), ratio_ab.alias("ratio"), resolve.shared_pairs(F.length("a"), ratio_ab).alias("needed"), F.size(pairs["a"]).alias("n")).collect()
+    for r in out:
+        total = len(r.a) + len(r.b)
+        assert r.differ <= round((1 - r.ratio / 100) * total) and r.shared >= r.needed and r.n == len(r.a) + 1
+    assert sum(r.needed > 3 for r in out) > 100
+
+
 def brute_mapping(left, right):
     from pitchline.functions.fuzzy import ratio as r
 
@@ -139,6 +165,30 @@ def test_best_match_equals_brute_force(spark, piece):
     assert {(r.player_id, r.team_name): (r.score, r.match.id) for r in got.collect()} == brute_mapping(left, right)
 
 
+@pytest.mark.parametrize("piece", [5, 20000])
+def test_best_match_by_the_index_equals_brute_force(spark, piece):
+    """Names with close ones, equal teams, a name that many keys share, and some without any close name."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnoprstuvz"
+    base = ["".join(rng.choice(letters) for _ in range(rng.randrange(4, 9))) + " " + "".join(rng.choice(letters) for _ in range(rng.randrange(4, 10))) for _ in range(70)]
+
+    def spoilt(name):
+        at = rng.randrange(len(name))
+        return rng.choice([name, name[:at] + name[at + 1:], name[:at] + "x" + name[at:], name[:at] + "q" + name[at + 1:], name.upper()])
+
+    teams = ["Real Madrid", "Porto", "Benfica", "Real Sociedad", "", "AC Milan"]
+    left = [(i, spoilt(spoilt(n)), rng.choice(teams)) for i, n in enumerate(base)] + [(200 + k, base[0], t) for k, t in enumerate(teams)]
+    left += [(300, "wwwww", "Porto"), (301, "", ""), (302, "yy", "zz")]
+    right = [(500 - i, spoilt(n), rng.choice([*teams, None, "Madrid Real", "SL Benfica"])) for i, n in enumerate(base * 2)]
+    schema = "player_id long, player_name string, team_name string"
+    frames = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = resolve.best_matches(*frames, "player_id", "player_name", "team_name", piece)
+    assert {(r.player_id, r.team_name): (r.score, r.match.id) for r in got.collect()} == brute_mapping(left, right)
+    names = [f.select(resolve.sorted_tokens(resolve.simple_name(F.col("player_name"))).alias(f"{c}_name"), resolve.sorted_tokens(resolve.simple_name(F.col("team_name"))).alias(f"{c}_team")).distinct() for f, c in zip(frames, "lr")]
+    keyed, found = resolve.possible_names(*names, (0.8, 0.2))
+    assert keyed.where("by_index").count() > 50 and found.count() < 0.1 * 70 * 140
+
+
 def test_mapping_rows(spark):
     schema = "player_id long, player_name string, team_name string"
     rows = resolve.player_mapping(spark.createDataFrame([(1, "Ana Li", "Porto")], schema), spark.createDataFrame([(7, "li ana", "Porto"), (8, "li ana", "Porto")], schema), "2025/2026")
@@ -177,3 +227,90 @@ def test_metrics(spark):
     assert report == {"A": (1.0, 0.5, 2 / 3, 2), "D": (0.0, 0.0, 0.0, 0), "H": (1.0, 1.0, 1.0, 2)}
     matrix = [tuple(r) for r in metrics.confusion_matrix(df).collect()]
     assert matrix == [("A", 1, 1, 0), ("D", 0, 0, 0), ("H", 0, 0, 2)]
+
+
+# ---------------------------------------------------------------- selection, histories, isotonic fit
+
+
+def test_order_keys_are_the_bits_of_doubles(spark):
+    import struct
+
+    rng = random.Random(4)
+    values = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), float("-inf"), 0.1, 1023.9999999999999]
+    values += [2.0**k * f for k in (-1074, -1023, -1022, -3, 0, 52, 1023) for f in (1.0, 1 + 2**-52)] + [rng.uniform(-1, 1) * 10.0**rng.randrange(-300, 300) for _ in range(500)]
+    values = [v for v in values if v == v]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordering.order_key(F.col("v")).alias("k")).collect()
+    for v, k in rows:
+        bits = struct.unpack(">q", struct.pack(">d", abs(v)))[0]
+        assert k == (-bits if v < 0 else bits) and ordering.value_of_key(k) == v
+    assert spark.createDataFrame([(None,)], "v double").select(ordering.order_key(F.col("v"))).first()[0] is None
+
+
+def test_medians_of_wide_and_hot_columns(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([0.0, 0.0, 1.5]), rng.uniform(-1e-300, 1e300), rng.gauss(0, 1), None if i % 3 else float(i), 7.0, None) for i in range(2001)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(6)
+    want = {c: (None if not (v := [r[i] for r in rows if r[i] is not None]) else float(np.median(v))) for i, c in enumerate("abcdef")}
+    assert ordering.exact_medians(df, list("abcdef")) == want
+    assert ordering.kth_of_all(df, ["c"], {"c": [0, 17, 2000]}, digit=3) == {"c": [sorted(r[2] for r in rows)[k] for k in (0, 17, 2000)]}
+
+
+def test_history_of_a_team_with_a_third_of_all_rows_on_one_day(spark):
+    rng = random.Random(3)
+    day = dt.date(2024, 1, 1)
+    rows = [(i, 1 if i % 3 == 0 else rng.randrange(2, 40), day if i % 3 == 0 else day + dt.timedelta(days=rng.randrange(400)), rng.randrange(9)) for i in range(3000)]
+    rows += [(5000, None, day, 1), (5001, 3, None, 1), (5002, 99, day, 4)]
+    df = spark.createDataFrame(rows, "match_id long, team int, match_date date, v int").repartition(7)
+    got = {r.match_id: r for r in history.with_recent(df, ["team"], ["v"], 5, ranges=12).collect()}
+    past = {}
+    for m, team, when, v in sorted((r for r in rows if r[1] is not None and r[2] is not None), key=lambda r: (r[2], r[0])):
+        mine = past.setdefault(team, [])
+        assert [(x.match_id, x.v) for x in got[m].recent] == mine[-5:] and got[m].played_before == len(mine)
+        mine.append((m, v))
+    assert [got[m].recent for m in (5000, 5001)] == [[], []] and len(got) == len(rows)
+
+
+def test_ranges_of_a_history_are_even(spark):
+    """No task gets above twice the median, though one team has a third of all rows on one day."""
+    rows = spark.range(60_000).selectExpr("id AS match_id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 977 END AS team", "date_add(date'2024-01-01', CASE WHEN id % 3 = 0 THEN 0 ELSE CAST(id % 300 AS INT) END) AS match_date")
+    dealt = rows.repartitionByRange(16, "team", "match_date", "match_id").groupBy(F.spark_partition_id()).count()
+    counts = sorted(r["count"] for r in dealt.collect())
+    assert counts[-1] <= 2 * counts[len(counts) // 2]
+
+
+def brute_isotonic(points):
+    """Max over starts of min over ends of the weighted mean, at each score."""
+    scores = sorted({x for x, _, _ in points})
+    total, weight = np.zeros(len(scores) + 1), np.zeros(len(scores) + 1)
+    for x, y, w in points:
+        total[scores.index(x) + 1] += y * w
+        weight[scores.index(x) + 1] += w
+    total, weight = total.cumsum(), weight.cumsum()
+    mean = lambda a, b: (total[b] - total[a]) / (weight[b] - weight[a])
+    return {x: max(min(mean(a, b) for b in range(i + 1, len(scores) + 1)) for a in range(i + 1)) for i, x in enumerate(scores)}
+
+
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_isotonic_fit_equals_brute_force(spark, ranges):
+    rng = random.Random(ranges)
+    points = [(x := rng.randrange(60) / 64, float(rng.random() < x), float(rng.randrange(1, 4))) for _ in range(400)]
+    df = spark.createDataFrame([*points, (None, 1.0, 1.0), (0.5, None, 1.0), (0.5, 1.0, 0.0)], "s double, y double, w double")
+    blocks = sorted(map(tuple, isotonic.isotonic_blocks(df, "s", "y", "w", ranges).collect()))
+    want = brute_isotonic(points)
+    for x, v in want.items():
+        inside = [t / w for lo, hi, t, w in blocks if lo <= x <= hi]
+        assert len(inside) == 1 and inside[0] == pytest.approx(v, abs=1e-12)
+    assert all(a[1] < b[0] and a[2] / a[3] < b[2] / b[3] for a, b in zip(blocks, blocks[1:]))
+
+
+def test_isotonic_fit_is_straight_between_blocks_and_flat_beyond(spark):
+    rng = random.Random(8)
+    points = [(x := rng.random(), float(rng.random() < x)) for _ in range(300)]
+    fit = isotonic.IsotonicFit.fit(spark.createDataFrame(points, "s double, y double"), "s", "y")
+    want = brute_isotonic([(x, y, 1.0) for x, y in points])
+    xs, probes = sorted(want), [-1.0, 0.0, 0.3, 0.77777, 1.0, 2.0]
+    got = fit.transform(spark.createDataFrame([(v, 1) for v in [*xs, *probes, None]], "s double, x0 int"), "s", "p").collect()
+    assert all(r.p == pytest.approx(np.interp(r.s, xs, [want[x] for x in xs]), abs=1e-9) for r in got if r.s is not None)
+    assert len(got) == len(xs) + 7 and [r.p for r in got if r.s is None] == [None] and got[0].x0 == 1
+    none = isotonic.IsotonicFit.fit(spark.createDataFrame([], "s double, y double"), "s", "y")
+    assert none.transform(spark.createDataFrame([(0.5,)], "s double"), "s", "p").first().p is None
