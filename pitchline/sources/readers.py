@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from pitchline.functions.paths import match_id_text, target_table
+from pitchline.sources import blocks
 
 
 class NoInputFiles(FileNotFoundError):
@@ -79,10 +80,13 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(quoted(p)).alias(".".join(p)) for p in leaves(df.schema, [])])
 
 
-def json_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(source_file, value) of every JSON file below the folder: whole files, however many lines they have."""
+SPLIT_BYTES = 64 << 20  # larger files are read by many tasks
+
+
+def json_documents(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(source_file, value) of the JSON files below the folder up to a size: whole files, however many lines they have."""
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=any_case_glob("json"))
-    return files.select(F.col("_metadata.file_path").alias("source_file"), "value")
+    return files.where(F.col("_metadata.file_size") <= split_bytes).select(F.col("_metadata.file_path").alias("source_file"), "value")
 
 
 def raw_rows(documents: DataFrame, dataset: str, loaded_at: Column) -> tuple[DataFrame, DataFrame]:
@@ -94,14 +98,18 @@ def raw_rows(documents: DataFrame, dataset: str, loaded_at: Column) -> tuple[Dat
     can be counted. Rejects: source_file, reason, loaded_at.
     """
     text = F.regexp_replace("value", r"^\uFEFF?\s*|\s+$", "")
-    is_array = F.startswith(text, F.lit("["))
+    is_array = F.startswith(text, F.lit("[")) & F.endswith(text, F.lit("]"))
     is_object = F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull()
     items = F.when(is_array, F.from_json(text, T.ArrayType(T.StringType()))).when(is_object, F.array(text))
     parsed = documents.select("source_file", items.alias("items"))
     rejects = parsed.filter(F.col("items").isNull()).select(
         "source_file", F.lit("no JSON array or object").alias("reason"), loaded_at.alias("loaded_at")
     )
-    rows = parsed.select("source_file", F.posexplode("items").alias("row_in_file", "payload"))
+    return _routed(parsed.select("source_file", F.posexplode("items").alias("row_in_file", "payload")), dataset, loaded_at), rejects
+
+
+def _routed(rows: DataFrame, dataset: str, loaded_at: Column) -> DataFrame:
+    """Elements (source_file, row_in_file, payload) with their ids, targets and provenance."""
     in_file = F.shiftleft(F.xxhash64("source_file").bitwiseAND(F.lit((1 << 36) - 1)), 27)
     return rows.select(
         (in_file + F.col("row_in_file")).alias("raw_id"),
@@ -112,7 +120,24 @@ def raw_rows(documents: DataFrame, dataset: str, loaded_at: Column) -> tuple[Dat
         "row_in_file",
         "payload",
         loaded_at.alias("loaded_at"),
-    ), rejects
+    )
+
+
+def large_rows(
+    spark: SparkSession, folder: str, dataset: str, loaded_at: Column, split_bytes: int = SPLIT_BYTES, keep_complete: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Raw rows and rejects of the files above a size, as :func:`raw_rows` gives them, each file read by many tasks.
+
+    A file that holds no array is one document, put together again for the task that parses it. With ``keep_complete``
+    the whole elements of a truncated array are kept; its rejected row says where it comes from all the same.
+    """
+    found = blocks.pieces(spark, folder, any_case_glob("json"), "}").where(F.col("size") > split_bytes)
+    is_array = F.regexp_like("head", F.lit(r"^[\s\x{FEFF}]*\["))
+    kinds = found.where("block = 0").groupBy("source_file").agg(F.min_by("value", "piece").alias("head")).select("source_file", is_array.alias("is_array"))
+    marked = found.join(kinds, "source_file")
+    elements, faults = blocks.array_elements(marked.where("is_array").drop("is_array"), keep_complete)
+    rows, rejects = raw_rows(blocks.whole(marked.where("NOT is_array"), "}"), dataset, loaded_at)
+    return rows.unionByName(_routed(elements, dataset, loaded_at)), rejects.unionByName(faults.select("source_file", "reason", loaded_at.alias("loaded_at")))
 
 
 RAW_IDS = {"raw_matches": "raw_match_id", "raw_events": "raw_event_id", "raw_lineups": "raw_lineup_id", "raw_player_stats": "raw_player_stats_id"}
@@ -124,6 +149,11 @@ def raw_table(rows: DataFrame, table: str) -> DataFrame:
     return wanted.withColumnRenamed("raw_id", RAW_IDS[table]).drop("target_table", "row_in_file")
 
 
-def read_raw(spark: SparkSession, folder: str, dataset: str, loaded_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw rows and rejects of all JSON files below the folder; see :func:`raw_rows`."""
-    return raw_rows(json_documents(spark, folder), dataset, F.current_timestamp() if loaded_at is None else loaded_at)
+def read_raw(
+    spark: SparkSession, folder: str, dataset: str, loaded_at: Column | None = None, split_bytes: int = SPLIT_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """Raw rows and rejects of all JSON files below the folder; see :func:`raw_rows`. Large ones are split among tasks."""
+    now = F.current_timestamp() if loaded_at is None else loaded_at
+    rows, rejects = raw_rows(json_documents(spark, folder, split_bytes), dataset, now)
+    large, faults = large_rows(spark, folder, dataset, now, split_bytes)
+    return rows.unionByName(large), rejects.unionByName(faults)

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitchline.sources import player_stats, readers, writers
 
@@ -66,6 +67,38 @@ def test_raw_rows_are_routed_by_folder(spark, tmp_path):
     assert events.columns == ["raw_event_id", "source_dataset", "source_file", "source_match_id", "payload", "loaded_at"] and events.count() == 2
 
 
+ARRAYS = {
+    "events/1": [{"id": i, "t": 'a}{"b\\\\' * (i % 4), "n": {"k": [1, {"z": "]"}]}} for i in range(400)],
+    "events/2": [1, "x}", {"a": {}}, [2, {"b": 3}], None, True, {"c": "{["}, 5.5], "matches/3": [], "lineups/4": [{"a": 1}], "events/5": ["no objects", 2],
+}
+BROKEN = {
+    "events/b1": '[{"a": 1}, {"b"', "events/b2": '[{"a": 1} {"b": 2}]', "events/b3": '[{"a": 1},]', "events/b4": '[{"a": 1}] x', "events/b5": '{"a": 1}',
+    "events/b6": '[{"a": 1}, {"b": "x}', "events/b7": '"text"', "events/b8": '[{"a": 1}}]', "events/b9": '[,{"a": 1}]',
+}
+
+
+def test_large_arrays_are_split_and_give_the_same_rows(spark, tmp_path):
+    for name, value in ARRAYS.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"{name}.json").write_text("\ufeff \n" * (name == "events/2") + json.dumps(value, indent=1 if "1" in name else None, ensure_ascii=False) + "\n", encoding="utf-8")
+    for name, text in BROKEN.items():
+        (tmp_path / f"{name}.json").write_text(text, encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        rows, rejects = readers.read_raw(spark, str(tmp_path), "set", split_bytes=0)
+        get = lambda df: sorted((r.source_file, r.row_in_file, r.payload, r.raw_id, r.target_table) for r in df.collect())
+        whole, lost = readers.read_raw(spark, str(tmp_path), "set")
+        assert get(rows) == get(whole) and rows.count() == sum(map(len, ARRAYS.values())) + 1
+        found = readers.blocks.pieces(spark, str(tmp_path / "events"), "1.json", "}")
+        assert found.select(F.spark_partition_id()).distinct().count() > 5
+        names = lambda df: sorted(r.source_file.split("/")[-1] for r in df.collect())
+        assert names(rejects) == names(lost) == sorted(f"{n.split('/')[1]}.json" for n in BROKEN if n != "events/b5")
+        kept, faults = readers.large_rows(spark, str(tmp_path), "set", F.current_timestamp(), 0, keep_complete=True)
+        assert [r.payload for r in kept.where("source_file LIKE '%b1.json'").collect()] == ['{"a":1}'] and faults.count() == len(BROKEN) - 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_json_over_several_lines(spark, tmp_path):
     (tmp_path / "list.json").write_text('\n[\n {"a": 1},\n {"a":\n 2}\n]\n')
     (tmp_path / "one.json").write_text('{\n"a": {\n"b": 1}}')
