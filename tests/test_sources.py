@@ -123,6 +123,36 @@ def test_csv_cells_over_several_lines(spark, tmp_path):
     assert sorted(r.Player for r in readers.read_csv(spark, str(tmp_path / "a.csv"), multi_line=True).collect()) == ["A\nB", "C"]
 
 
+def test_quoted_line_breaks_across_splits(spark, tmp_path):
+    cell = lambda i: f'"P{i}\n""{i}"", x\n\n"' if i % 3 else f"P{i}"
+    (tmp_path / "a.csv").write_text("Player,Squad,Age\n" + "".join(f"{cell(i)},S,{i}\n" for i in range(900)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        rows = player_stats.read_player_stats(spark, str(tmp_path), multi_line=True).collect()
+        assert readers.blocks.pieces(spark, str(tmp_path), "*.csv").select("block").distinct().count() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.age, r.player_name) for r in rows) == [(i, f'P{i}\n"{i}", x\n\n' if i % 3 else f"P{i}") for i in range(900)]
+
+
+@pytest.mark.parametrize("count", [3, 30])
+def test_layouts_share_one_scan(spark, tmp_path, count):
+    for k in range(count):
+        extra = [f"x{j}" for j in range(k)]
+        names = ["Squad", "Player", "Age", *extra]
+        names = names[k % 3:] + names[: k % 3]
+        cells = {"Squad": f"S{k}", "Player": f"P{k}", "Age": str(k), **{e: "v" for e in extra}}
+        body = ",".join(names) + "\n" + ",".join(cells[n] for n in names) + "\n" + (",".join(names) + "\n" if k == 1 else "")
+        (tmp_path / f"{k}.csv").write_text(body)
+    df = player_stats.read_player_stats(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan text") == 1
+    rows = {r.source_file: r for r in df.where("player_name LIKE 'P%' AND age IS NOT NULL").collect()}
+    assert len(rows) == count and all((r.player_name, r.squad_name, r.age) == (f"P{k}", f"S{k}", k) for k in range(count) for r in [rows[f"{k}.csv"]])
+    assert json.loads(rows["2.csv"].raw_payload) == {"Squad": "S2", "Player": "P2", "Age": "2", "x0": "v", "x1": "v"}
+    assert df.where("player_name = 'Player'").count() == 1  # a data line like the header is a row
+
+
 def test_payload_keeps_nulls(spark):
     df = spark.sql("SELECT CAST('NaN' AS DOUBLE) AS x, CAST(NULL AS STRING) AS y, TIMESTAMP '2020-01-02 03:04:05' AS t, array(1D, CAST('NaN' AS DOUBLE)) AS l")
     assert json.loads(writers.to_payload(df).first().payload) == {"x": None, "y": None, "t": "2020-01-02T03:04:05", "l": [1.0, None]}
