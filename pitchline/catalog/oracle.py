@@ -640,6 +640,13 @@ FROM e JOIN part ON p_partkey = player_id LEFT JOIN pl ON normalized_player_name
 add("core_events_second_load", "e", """SELECT event_id AS source_event_id, event_index, CASE WHEN (l_orderkey * 8 + l_linenumber) % 3 = 1 THEN 99 ELSE event_index END AS possession,
   1 AS has_match, event_id AS raw_payload FROM e""")
 
+add("stored_events_second_load", "e m", """SELECT event_id AS source_event_id, m.season_name, event_index,
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 3 = 1 AND m.season_name = '2015/2016' THEN 99 ELSE event_index END AS possession, event_id AS raw_payload
+FROM e JOIN m USING (match_id) WHERE (l_orderkey * 8 + l_linenumber) % 3 > 0 OR m.season_name = '2015/2016'""")
+add("stored_lineups_second_load", "ll m", """SELECT first_position AS position_name, starter, CASE WHEN m.season_name = '2015/2016' THEN 77 ELSE jersey_number END AS jersey_number,
+  minutes_played, match_id::VARCHAR AS source_match_id, lower(team_name) AS normalized_team_name, lower(player_name) AS normalized_player_name, m.season_name
+FROM ll JOIN m USING (match_id) QUALIFY row_number() OVER (PARTITION BY match_id, team_id, player_name ORDER BY player_id DESC) = 1""")
+
 # ---- lookups
 add("lookup_with_fallback", "lut", """SELECT match_id, source_id, x.team_name, coalesce(a.id, b.id)::VARCHAR AS found
 FROM (SELECT match_id, CASE WHEN match_id % 2 = 0 THEN home_team_id::VARCHAR ELSE 'no such id' END AS source_id,
@@ -678,6 +685,7 @@ add("null_counts", "pf", " UNION ALL ".join(
     f"SELECT * FROM (SELECT '{c}' AS feature, count(*) FILTER ({c} IS NULL) AS nulls FROM pf) WHERE nulls > 0" for c in NUMERIC_FEATURES))
 add("layer_counts", "e", " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, count(*) AS rows, count(*) FILTER (event_type_name = 'Shot') AS flagged FROM e" for layer in ("raw", "curated", "silver")))
+ORACLE["observed_layer_counts"] = ORACLE["layer_counts"]
 add("key_violations", "", "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 add("reference_violations", "e", """SELECT match_id, count(*) AS events FROM e
 WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = player_id AND p_size > 5) GROUP BY match_id""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,11 +14,12 @@ from pitchline.functions.casts import lenient_double, lenient_int, point
 from pitchline.functions.labels import INPLAY_CODES, PREGAME_CODES, form_letter, result_code, result_label
 from pitchline.functions.paths import base_name, match_id_from_file, match_id_text, target_table
 from pitchline.functions.text import folded_name, simple_name
-from pitchline.operators import checks, history, isotonic, merge, metrics, ordering, resolve
+from pitchline import jobs
+from pitchline.operators import checks, history, isotonic, merge, metrics, ordering, resolve, stored
 from pitchline.plans import core, inplay, models, pregame, serve, silver, stats
 from pitchline.schemas import PASS_PAYLOAD
-from pitchline.sources import player_stats, readers, sample
-from pitchline.session import cut_lineage
+from pitchline.sources import player_stats, readers, sample, writers
+from pitchline.session import shared_folder
 from pitchline.sources.writers import row_payload
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +95,25 @@ def _inplay(spark, d):
     return inplay.build(sample.events(spark, d), sample.matches(spark, d))
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark, d, name: str, write: Callable[[str], None]) -> str:
+    """A place in the shared folder where ``write`` puts what several queries of a session on one input read."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _WRITTEN:
+        place = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        write(place)
+        _WRITTEN[key] = place
+    return _WRITTEN[key]
+
+
+def _stored_pregame(spark, d):
+    """The feature store: pre-game features as written, in order of their matches."""
+    place = _once(spark, d, "pregame-features", lambda p: writers.rebuild_sorted(_pregame(spark, d), p, "match_id"))
+    return spark.read.parquet(place)
+
+
 # ------------------------------------------------------------------ loaders
 
 
@@ -331,12 +352,12 @@ def pregame_features(spark, d):
 
 @query
 def pregame_short_form(spark, d):
-    return pregame.short_form(_pregame(spark, d))
+    return pregame.short_form(_stored_pregame(spark, d))
 
 
 @query
 def pregame_training_rows(spark, d):
-    return pregame.enough_history(_pregame(spark, d))
+    return pregame.enough_history(_stored_pregame(spark, d))
 
 
 @query
@@ -523,6 +544,47 @@ def core_events_second_load(spark, d):
     return rows.select("source_event_id", "event_index", "possession", F.col("match_id").isNotNull().alias("has_match"), F.get_json_object("raw_payload", "$.id").alias("raw_payload"))
 
 
+def _with_season(rows, m):
+    """Core rows with the season of their match, by which their table is partitioned."""
+    seasons = m.select(F.col("match_id").cast("string").alias("source_match_id"), "season_name")
+    return rows.join(core.matches(m).select("match_id", "source_match_id"), "match_id").join(seasons, "source_match_id").drop("source_match_id")
+
+
+def _of_season(raw, m):
+    return core.in_target(raw, core.matches(m.filter(F.col("season_name") == SLICE_SEASON))).drop("source_match_id")
+
+
+@query
+def stored_events_second_load(spark, d):
+    """Events written by season, then a second load into one season: changed, new and repeated events; the table read back."""
+    m, _, teams, players = _core_frames(spark, d)
+    raw = sample.raw_events(spark, d)
+    part = F.col("raw_event_id") % 3
+    changed = F.when(part == 1, F.regexp_replace("payload", '"possession":[0-9]+', '"possession":99')).otherwise(F.col("payload"))
+    second = _of_season(raw.filter(part < 2), m).withColumn("payload", changed)
+    place = f"{shared_folder(spark)}/core-events-{uuid.uuid4().hex}"
+    for load, rows in enumerate((raw.filter(part > 0), second.unionByName(second))):
+        events, _ = core.match_events(None, rows, core.matches(m), teams, players)
+        events = _with_season(events, m).withColumn("_load", F.lit(load))
+        stored.upsert(events, place, ["source_name", "source_event_id"], ["_load"], "season_name")
+    table = stored.read_table(spark, place, events.drop("_load").schema)
+    return table.select("source_event_id", "season_name", "event_index", "possession", F.get_json_object("raw_payload", "$.id").alias("raw_payload"))
+
+
+@query
+def stored_lineups_second_load(spark, d):
+    """Lineups written by season, then one season loaded again with other shirt numbers; the table read back."""
+    m, _, teams, players = _core_frames(spark, d)
+    raw = sample.raw_lineups(spark, d)
+    second = _of_season(raw, m).withColumn("payload", F.regexp_replace("payload", '"jersey_number":[0-9]+', '"jersey_number":77'))
+    place = f"{shared_folder(spark)}/core-lineups-{uuid.uuid4().hex}"
+    for load, rows in enumerate((raw, second)):
+        lineups, _ = core.lineups(None, rows, core.matches(m), teams)
+        lineups = _with_season(lineups, m).withColumn("_load", F.lit(load))
+        stored.upsert(lineups, place, ["match_id", "team_id", "player_id"], ["_load"], "season_name")
+    return _natural(stored.read_table(spark, place, lineups.drop("_load").schema), core.matches(m), teams, players)
+
+
 @query
 def core_season_stats(spark, d):
     m, parsed, teams, players = _core_frames(spark, d)
@@ -662,7 +724,7 @@ def class_shares(spark, d):
 
 @query
 def null_counts(spark, d):
-    return checks.null_counts(_pregame(spark, d), pregame.NUMERIC_FEATURES)
+    return checks.null_counts(_stored_pregame(spark, d), pregame.NUMERIC_FEATURES)
 
 
 @query
@@ -676,6 +738,17 @@ def layer_counts(spark, d):
     return checks.layer_counts(layers, F.col("event_type_name") == "Shot")
 
 
+@query
+def observed_layer_counts(spark, d):
+    """The same counts, taken while the layers are written: no second scan."""
+    raw = sample.raw_events(spark, d)
+    targets = silver.target_matches(_curated(spark, d))
+    curated = silver.curated_by_file(raw, targets)
+    kind = lambda df: df.withColumn("event_type_name", F.get_json_object("payload", "$.type.name"))
+    layers = {"raw": kind(raw), "curated": kind(curated), "silver": silver.silver_events(curated)}
+    return jobs.write_layers(layers, f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}", F.col("event_type_name") == "Shot")
+
+
 @query
 def key_violations(spark, d):
     lines = sample.table(spark, d, "lineitem")
@@ -697,7 +770,7 @@ def domain_violations(spark, d):
 
 @query
 def feature_medians(spark, d):
-    f = cut_lineage(_pregame(spark, d))
+    f = _stored_pregame(spark, d)
     medians = ordering.exact_medians(f, pregame.NUMERIC_FEATURES)
     modes = models.modes_of(f, pregame.CATEGORICAL_FEATURES)
     rows = [(c, v, None) for c, v in medians.items()] + [(c, None, v) for c, v in modes.items()]
@@ -784,9 +857,9 @@ def match_summary(spark, d):
 
 @query
 def pregame_by_match(spark, d):
-    f = _pregame(spark, d)
+    """Stored features of the newest match: the id reaches the scan, which skips row groups by bounds and filter."""
     newest = sample.matches(spark, d).agg(F.max("match_id")).first()[0]
-    return serve.by_match(f, newest)
+    return serve.by_match(_stored_pregame(spark, d), newest)
 
 
 @query
@@ -815,17 +888,17 @@ def form_letters(spark, d):
 
 @query
 def comparison_unpivot(spark, d):
-    return serve.comparison_table(_pregame(spark, d))
+    return serve.comparison_table(_stored_pregame(spark, d))
 
 
 @query
 def comparison_shares(spark, d):
-    return serve.comparison_bars(_pregame(spark, d))
+    return serve.comparison_bars(_stored_pregame(spark, d))
 
 
 @query
 def insights(spark, d):
-    return serve.insights(_pregame(spark, d))
+    return serve.insights(_stored_pregame(spark, d))
 
 
 @query
@@ -919,30 +992,57 @@ def team_mapping(spark, d):
 # ------------------------------------------------------------------ models
 
 
+def _forest(spark, d):
+    """(saved model, stored rows with their split): fitted once, written, and loaded by each query."""
+
+    def fit(place):
+        model, splits = models.train_forest(_stored_pregame(spark, d))
+        model.write().overwrite().save(f"{place}/pipeline")
+        splits.write.parquet(f"{place}/splits")
+
+    place = _once(spark, d, "forest", fit)
+    return models.load_forest(place), spark.read.parquet(f"{place}/splits")
+
+
 @query
 def rf_predictions(spark, d):
-    model, splits = models.train_forest(_pregame(spark, d))
+    model, splits = _forest(spark, d)
     return serve.with_odds(models.score_forest(model, splits).drop("probabilities"))
 
 
 @query
 def feature_importances(spark, d):
-    model, _ = models.train_forest(_pregame(spark, d))
-    return models.top_importances(model, 30)
+    return models.top_importances(_forest(spark, d)[0], 30)
 
 
 @query
 def walk_forward(spark, d):
     parts = []
-    for season, _, scored in models.walk_forward(_pregame(spark, d), models.ForestSettings()):
+    for season, _, scored in models.walk_forward(_stored_pregame(spark, d), models.ForestSettings()):
         parts.append(metrics.scores(scored, [], label=models.LABEL, p_true=models.p_of_truth(models.LABEL)).select(F.lit(season).alias("season_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _boost(spark, d):
+    """Folder with the metrics and the importances of the in-play model, fitted once."""
+
+    def fit(place):
+        model, _, results = models.train_inplay(_inplay(spark, d))
+        results.write.parquet(f"{place}/metrics")
+        model.importances(models.FEATURES).write.parquet(f"{place}/importances")
+
+    return _once(spark, d, "boost", fit)
+
+
 @query
 def inplay_boosting(spark, d):
-    _, _, results = models.train_inplay(_inplay(spark, d))
-    return results
+    return spark.read.parquet(f"{_boost(spark, d)}/metrics")
+
+
+@query
+def inplay_importances(spark, d):
+    """The twenty most important in-play features."""
+    return spark.read.parquet(f"{_boost(spark, d)}/importances").orderBy(F.desc("importance"), "feature").limit(20)
 
 
 @query

@@ -130,8 +130,8 @@ def kth_of_all(df: DataFrame, columns: list[str], places: dict[str, list[int]],
     Each round counts, for all columns at once, the next bits of those keys that agree with a wanted value so far. A
     column is done when what is left is one value. At most 2**digit counts a wanted value come to the driver.
     """
-    keys = F.array(*[F.struct(F.lit(i).alias("i"), order_key(F.col(c).cast("double")).alias("key")) for i, c in enumerate(columns)])
-    long = df.select(F.explode(keys).alias("x")).select("x.*").where("key IS NOT NULL")
+    values = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    long = df.select(F.explode(values).alias("x")).select("x.*").where("v IS NOT NULL").select("i", order_key(F.col("v")).alias("key"))
     wanted = {(i, k): (0, k) for i, c in enumerate(columns) for k in places.get(c, [])}  # prefix so far, place within it
     found: dict[tuple[int, int], float] = {}
     bits = 0
