@@ -544,6 +544,23 @@ add("silver_events", "e", f"""SELECT event_id, match_id, event_index, period,
   CASE WHEN event_type_name = 'Pressure' THEN event_index::VARCHAR END AS tactics_payload, card AS bad_behaviour_payload,
   (event_type_name = 'Dribble')::INT AS dribble_payload, (event_type_name = 'Duel')::INT AS duel_payload, (event_type_name = 'Clearance')::INT AS clearance_payload,
   event_id AS raw_payload, 'star' AS source_dataset, {_file('events')} AS source_file FROM e LEFT JOIN part ON p_partkey = player_id""")
+_OF = lambda kind, value: f"CASE WHEN event_type_name = '{kind}' THEN {value} END"
+add("event_payload_fields", "e", f"""SELECT event_id, {_OF('Pass', 'ex::VARCHAR')} AS pass_end_location_0, {_OF('Pass', 'ey::VARCHAR')} AS pass_end_location_1,
+  CASE WHEN event_type_name = 'Pass' AND l_returnflag = 'R' THEN 'true' END AS pass_goal_assist, CASE WHEN event_type_name = 'Pass' AND l_returnflag = 'A' THEN 'true' END AS pass_shot_assist,
+  CASE WHEN event_type_name = 'Pass' AND l_returnflag = 'N' THEN 'Incomplete' END AS pass_outcome_name, CASE WHEN event_type_name = 'Pass' AND l_linestatus = 'F' THEN 'Corner' END AS pass_type_name,
+  shot_xg::DOUBLE AS shot_statsbomb_xg, shot_outcome AS shot_outcome_name, {_OF('Carry', 'ex::VARCHAR')} AS carry_end_location_0, {_OF('Carry', 'ey::VARCHAR')} AS carry_end_location_1,
+  card AS bad_behaviour_card_name, {_OF('Duel', "CASE WHEN l_linestatus = 'F' THEN 'Tackle' ELSE 'Aerial Lost' END")} AS duel_type_name,
+  {_OF('Dribble', "CASE WHEN l_linestatus = 'F' THEN 'Complete' ELSE 'Incomplete' END")} AS dribble_outcome_name,
+  {_OF('Interception', "'4'")} AS interception_outcome_id, {_OF('Interception', "'Won'")} AS interception_outcome_name,
+  {_OF('Block', '(player_id % 9)::VARCHAR')} AS goalkeeper_type_id, {_OF('Block', "'Save'")} AS goalkeeper_type_name,
+  {_OF('Pressure', "'442'")} AS tactics_formation, {_OF('Pressure', 'event_index::VARCHAR')} AS tactics_lineup_0_jersey_number,
+  CASE WHEN event_type_name = 'Clearance' AND l_returnflag = 'A' THEN 'true' END AS clearance_aerial_won FROM e""")
+_LISTED = lambda value: f"CASE WHEN player_id % 9 <> 0 THEN {value} END"
+_FROM = "CASE WHEN p_size % 4 = 0 THEN '00:00' ELSE p_size::VARCHAR END"
+add("lineup_payload_fields", "ll", f"""SELECT match_id, team_id, player_id, CASE WHEN player_id % 9 <> 0 THEN 1 ELSE 0 END AS positions, first_position AS position,
+  {_LISTED(_FROM)} AS from_time, {_LISTED("CASE WHEN p_size % 5 <> 0 THEN '90' END")} AS to_time, {_LISTED("CASE WHEN p_size % 6 = 0 THEN '' ELSE 'Starting XI' END")} AS start_reason,
+  CASE WHEN player_id % 6 = 0 THEN '45:00' END AS card_time, CASE WHEN player_id % 6 = 0 THEN 'Yellow Card' END AS card_type,
+  jersey_number::VARCHAR AS jersey, 'Country ' || jersey_number AS country, {_LISTED(_FROM)} AS raw_from FROM ll""")
 add("json_props", "", """SELECT event_id, event_type, TRY_CAST(props->>'k' AS INT) AS k, TRY_CAST(props->>'k' AS DOUBLE) AS k_real,
   props->>'absent' AS absent FROM events""")
 add("event_location", "e", """SELECT event_id, CASE WHEN location_size = 2 THEN lx END AS start_x, CASE WHEN location_size = 2 THEN ly END AS start_y,

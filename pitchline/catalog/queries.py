@@ -209,6 +209,39 @@ def silver_events(spark, d):
     return e.select(*rest, location, *shown, F.get_json_object("raw_payload", "$.id").alias("raw_payload"))
 
 
+PAYLOAD_FIELDS = {
+    "pass": ["end_location[0]", "end_location[1]", "goal_assist", "shot_assist", "outcome.name", "type.name"],
+    "shot": ["statsbomb_xg", "outcome.name"], "carry": ["end_location[0]", "end_location[1]"], "bad_behaviour": ["card.name"],
+    "duel": ["type.name"], "dribble": ["outcome.name"], "interception": ["outcome.id", "outcome.name"], "goalkeeper": ["type.id", "type.name"],
+    "tactics": ["formation", "lineup[0].jersey_number"], "clearance": ["aerial_won"],
+}
+
+
+def _field_name(payload: str, path: str) -> str:
+    return f"{payload}_{path}".replace(".", "_").replace("[", "_").replace("]", "")
+
+
+@query
+def event_payload_fields(spark, d):
+    """Every field of every sub-object payload, as its text."""
+    shown = [F.get_json_object(f"{n}_payload", f"$.{path}").alias(_field_name(n, path)) for n, paths in PAYLOAD_FIELDS.items() for path in paths]
+    rows = _silver_events(spark, d).select("event_id", *shown)
+    return rows.withColumn("shot_statsbomb_xg", F.col("shot_statsbomb_xg").cast("double"))
+
+
+@query
+def lineup_payload_fields(spark, d):
+    """Every field of positions, cards and the player payload."""
+    p = silver.silver_lineup_players(_curated_lineups(spark, d))
+    first = F.try_element_at("positions", F.lit(1))
+    return p.select(
+        "match_id", "team_id", "player_id", F.size("positions").alias("positions"), first["position"].alias("position"), first["from"].alias("from_time"),
+        first["to"].alias("to_time"), first["start_reason"].alias("start_reason"), F.get_json_object("cards_payload", "$[0].time").alias("card_time"),
+        F.get_json_object("cards_payload", "$[0].card_type").alias("card_type"), F.get_json_object("raw_player_payload", "$.jersey_number").alias("jersey"),
+        F.get_json_object("raw_player_payload", "$.country.name").alias("country"), F.get_json_object("raw_player_payload", "$.positions[0].from").alias("raw_from"),
+    )
+
+
 @query
 def json_props(spark, d):
     k = F.get_json_object("props", "$.k")

@@ -144,6 +144,17 @@ def find_season(
     )
 
 
+def find_named_season(
+    rows: DataFrame, season_name: str, season_dimension: DataFrame, competition_dimension: DataFrame,
+    competition: str = "competition_name", alias: str = "core_season_id",
+) -> DataFrame:
+    """:func:`find_season` where all rows are of one season: the dimension is filtered first and met by competition alone, and
+    the season that decides elsewhere is one value."""
+    named = season_dimension.filter(F.col("season_name") == season_name).join(competition_dimension.select("competition_id", "competition_name"), "competition_id")
+    other = named.agg(F.min("season_id")).first()[0]
+    return attach(rows, named, {competition: "competition_name"}, "season_id", "_own").withColumn(alias, F.coalesce("_own", F.lit(other))).drop("_own")
+
+
 def find_competition(rows: DataFrame, competition_dimension: DataFrame, name: str = "competition_name", alias: str = "core_competition_id") -> DataFrame:
     """Competition by name in any letter case."""
     keyed = rows.withColumn("_low", F.lower(name))
@@ -210,7 +221,7 @@ def season_stats(
     rows = rows.withColumn("_team", F.nullif(simple_name(F.col("team_name")), F.lit("")))
     rows = attach(rows, team_dimension, {"_team": "normalized_team_name"}, "team_id", "core_team_id").drop("_team")
     rows = find_competition(rows, competition_dimension)
-    rows = find_season(rows.withColumn("season_name", F.lit(season_name)), season_dimension, competition_dimension)
+    rows = find_named_season(rows, season_name, season_dimension, competition_dimension)
     good, rejects = split_rejects(
         rows,
         {
