@@ -31,6 +31,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def new_name(name: str) -> str:
+    """A column name that no input has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors, keeps column pruning."""
     path = new_folder(df.sparkSession, name)
@@ -48,6 +53,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 SLICE_ROWS = 500  # rows whose values are Python objects at once
+SLICE_BYTES = 32 << 20
 
 
 def batch_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
@@ -56,3 +62,15 @@ def batch_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tup
         for at in range(0, batch.num_rows, SLICE_ROWS):
             part = batch.slice(at, SLICE_ROWS)
             yield tuple(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns)
+
+
+def bounded_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
+    """The same with a bound of bytes as well: a slice is small, or a single row."""
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, SLICE_ROWS)
+            while part.num_rows > 1 and part.nbytes > SLICE_BYTES:
+                part = part.slice(0, part.num_rows // 2)
+            yield tuple(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns)
+            at += part.num_rows

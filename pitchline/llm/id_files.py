@@ -6,7 +6,7 @@ token counts of its documents, the offset index (where each document's frame sta
 end) and the payload, the frames one after another. ``parts`` has the number of ids before each part. Documents are in
 ascending doc_id order through parts and blocks, so one is found by its doc_id range and decompressed alone.
 
-The dictionary is trained on the ids of about ``SAMPLE_DOCS`` documents, chosen by a hash of doc_id and text whose bound
+The dictionary is trained on the ids of the beginnings of about ``SAMPLE_DOCS`` documents, chosen by a hash of doc_id and text whose bound
 follows from the number of documents; it changes only how small the files are. Ids are written with 16 bits where the vocabulary allows it.
 
 Cases: null is empty and has the end id only. Null doc_ids come first. Rows that repeat a doc_id stand side by side,
@@ -25,12 +25,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import batch_rows, new_folder, read_table, shuffle_partitions
+from pitchline.llm.common import batch_rows, bounded_rows, new_folder, read_table, shuffle_partitions
 from pitchline.llm.word_ids import tokenizer, vocabulary_path
 
 END_ID = 1
 BLOCK_IDS = 500_000
 SAMPLE_DOCS = 400
+SAMPLE_LENGTH = 1 << 16  # characters of a sampled text that reach the driver
 SAMPLE_BYTES = 8 << 20  # a dictionary gains nothing from more
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
@@ -96,7 +97,8 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) ->
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     share = int((1 << 40) * min(1.0, SAMPLE_DOCS / max(1, texts.count())))
-    sample = [r["text"] for r in texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < share).select("text").distinct().collect()]
+    chosen = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < share)
+    sample = [r["text"] for r in chosen.select(F.substring("text", 1, SAMPLE_LENGTH).alias("text")).distinct().collect()]
     own = tokenizer(path)
     width = "<u2" if own.library.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
     dictionary = train_dictionary([np.frombuffer(raw, "<u4").astype(width).tobytes() for raw in own.encode(sample)])
@@ -138,7 +140,7 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = _decoder(digest, dictionary, width)
-        for parts, blocks, hashes, ids, counts, offsets, payloads in batch_rows(batches, "part", "block", "dict_hash", "doc_ids", "counts", "offsets", "payload"):
+        for parts, blocks, hashes, ids, counts, offsets, payloads in bounded_rows(batches, "part", "block", "dict_hash", "doc_ids", "counts", "offsets", "payload"):
             for part, block, dict_hash, docs, sizes, places, payload in zip(parts, blocks, hashes, ids, counts, offsets, payloads, strict=True):
                 found = [decode(dict_hash, payload, places[i], places[i + 1]) for i in range(len(docs))]
                 if [len(f) for f in found] != sizes:

@@ -31,6 +31,16 @@ _LATIN = bytes(b for b in range(256) if _PLAIN.fullmatch(chr(b)))
 _SPACE, _WORD, _OTHER = 0, 1, 2
 _CLASS = np.array([_SPACE if b in b" \t\n\r" else _WORD if chr(b).isalpha() or b >= 128 else _OTHER for b in range(256)], np.uint8)
 _BASE = 0x9E3779B97F4A7C15
+_RUN = re.compile(f" ?[{_LETTER}]+")  # one word of the pre-tokenizers, with a blank before it or none
+
+
+def _byte_characters() -> dict[int, str]:
+    """Printable Latin-1 characters stand for their own byte, all other bytes for the characters from U+0100 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in own)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
 
 
 def vocabulary_path(name: str) -> str:
@@ -122,13 +132,57 @@ class WordTokenizer:
         self.library, self.separator = Tokenizer.from_file(path), separator
         self.between = self.library.token_to_id(separator)
         self.table = _Table()
+        self.model = self.library.model
+        self.lowers, self.blank = self._word_rules()
+
+    def _word_rules(self) -> tuple[bool, str | None]:
+        """Whether words are put in lower case, and what a blank before a word becomes; None where words are not taken whole.
+
+        Normaliser and pre-tokenizer leave a run of letters as one word of byte characters. That is asked of the library
+        once, so that runs can go to its model directly.
+        """
+
+        def words(text: str) -> list[str]:
+            normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
+            return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+
+        if self.library.pre_tokenizer is None or len(words("Abé")) != 1 or len(words(" Abé")) != 1:
+            return False, None
+        lowers = words("Abé") == [self._bytes_as_characters("abé")]
+        for text, blank in ((" Abé", ""), (" Abé", "\u0120")):
+            if words("Abé") == [self._bytes_as_characters("abé" if lowers else "Abé")] and words(text) == [blank + words("Abé")[0]]:
+                return lowers, blank
+        return lowers, None
+
+    @staticmethod
+    def _bytes_as_characters(text: str) -> str:
+        """The character that byte-level vocabularies write for each byte."""
+        return text.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        """Each piece by the library: a special token between two pieces keeps them apart, and its id marks the cut."""
+        """Each piece by the library: single words by its model, others by all of it."""
+        if self.blank is None:
+            return self._encode_others(pieces)
+        others = [p for p in pieces if not _RUN.fullmatch(p)]
+        rest, tokenize = iter(self._encode_others(others)), self.model.tokenize
+        out = []
+        for piece in pieces:
+            if not _RUN.fullmatch(piece):
+                out.append(next(rest))
+                continue
+            word = piece.lstrip(" ")
+            word = self._bytes_as_characters(word.lower() if self.lowers else word)
+            out.append(array("I", [t.id for t in tokenize(self.blank + word if piece[0] == " " else word)]).tobytes())
+        return out
+
+    def _encode_others(self, pieces: list[str]) -> list[bytes]:
+        """A special token between two pieces keeps them apart, and its id marks the cut."""
         out: list[bytes] = []
+        if not pieces:
+            return out
         for at in range(0, len(pieces), 2000):
             ids = array("I", self.library.encode_batch_fast([self.separator.join(pieces[at:at + 2000])], add_special_tokens=False)[0].ids)
             raw, start = ids.tobytes(), 0

@@ -193,3 +193,20 @@ def test_a_text_with_more_pieces_than_the_table_has_places(monkeypatch):
     finally:
         signal.alarm(0)
         signal.signal(signal.SIGALRM, before)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_that_go_to_the_model_equal_the_library(name):
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = word_ids.vocabulary_path(name)
+    own, library = word_ids.WordTokenizer(path), Tokenizer.from_file(path)
+    assert own.blank is not None
+    letters = [c for c in map(chr, range(0x180)) if word_ids._RUN.fullmatch(c)]
+    rng = random.Random(3)
+    words = letters + ["".join(rng.choices(letters if k % 2 else letters[:52], k=rng.randrange(1, 14))) for k in range(4000)]
+    for before in ("", " "):
+        want = [e.ids for e in library.encode_batch([before + w for w in words], add_special_tokens=False)]
+        assert [list(memoryview(x).cast("I")) for x in own._encode([before + w for w in words])] == want
