@@ -1050,10 +1050,13 @@ def feature_importances(spark, d):
 
 @query
 def walk_forward(spark, d):
-    parts = []
-    for season, _, scored in models.walk_forward(_stored_pregame(spark, d), models.ForestSettings()):
-        parts.append(metrics.scores(scored, [], label=models.LABEL, p_true=models.p_of_truth(models.LABEL)).select(F.lit(season).alias("season_name"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    return models.walk_forward_scores(_stored_pregame(spark, d), models.ForestSettings())
+
+
+@query
+def walk_forward_leagues(spark, d):
+    """The same with a separate fit for each league; leagues and seasons without training rows say why."""
+    return models.walk_forward_scores(_stored_pregame(spark, d), models.ForestSettings(), per_league=True)
 
 
 def _boost(spark, d):

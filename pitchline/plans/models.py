@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -168,22 +167,51 @@ def load_forest(folder: str) -> PipelineModel:
     return PipelineModel.load(f"{folder}/pipeline")
 
 
-def walk_forward(features: DataFrame, settings: ForestSettings, per_league: bool = False) -> Iterator[tuple[str, str | None, DataFrame]]:
-    """For every season with an earlier one: fit on all earlier seasons, score that season.
+FITS_IN_FLIGHT = 3
 
-    Yields (season, league or None, scored rows). Leagues without training rows are skipped.
+
+def walk_forward(
+    features: DataFrame, settings: ForestSettings, per_league: bool = False, in_flight: int = FITS_IN_FLIGHT
+) -> list[tuple[str, str | None, DataFrame | None, str | None]]:
+    """For every season but the first: fit on all earlier seasons, score that season; with ``per_league`` league by league.
+
+    (season, league or None, scored rows or None, reason why there are none), in order. A few fits run side by side, each
+    in a scheduler pool of its own.
     """
     rows = training_rows(features)
     seasons = [r.season_name for r in rows.select("season_name").distinct().orderBy("season_name").collect()]
     leagues = [r.competition_name for r in rows.select("competition_name").distinct().orderBy("competition_name").collect()]
-    for league in leagues if per_league else [None]:
+
+    def one(place: tuple[str | None, str]):
+        league, season = place
         mine = rows if league is None else rows.filter(F.col("competition_name") == league)
-        for season in seasons[1:]:
-            train = mine.filter(F.col("season_name") < season)
-            test = mine.filter(F.col("season_name") == season)
-            if train.select(LABEL).distinct().count() < 2 or test.isEmpty():
-                continue
-            yield season, league, score_forest(fit_forest(train, settings), test)
+        mine.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit {league or 'all'} {season}")
+        train, test = mine.filter(F.col("season_name") < season), mine.filter(F.col("season_name") == season)
+        if train.select(LABEL).distinct().count() < 2:
+            return season, league, None, "fewer than two results in earlier seasons"
+        if test.isEmpty():
+            return season, league, None, "no rows in the season"
+        return season, league, score_forest(fit_forest(train, settings), test), None
+
+    places = [(league, season) for league in (leagues if per_league else [None]) for season in seasons[1:]]
+    with ThreadPool(in_flight) as pool:
+        return pool.map(one, places, chunksize=1)
+
+
+def walk_forward_scores(features: DataFrame, settings: ForestSettings, per_league: bool = False) -> DataFrame:
+    """(season_name, competition_name, rows, accuracy, balanced_accuracy, log_loss, reason): a row for each fit, and one with
+    its reason where there was none."""
+    spark = features.sparkSession
+    schema = "season_name string, competition_name string, rows long, accuracy double, balanced_accuracy double, log_loss double, reason string"
+    out = spark.createDataFrame([], schema)
+    for season, league, scored, reason in walk_forward(features, settings, per_league):
+        place = [F.lit(season).alias("season_name"), F.lit(league).cast("string").alias("competition_name")]
+        if scored is None:
+            part = spark.createDataFrame([(season, league, 0, None, None, None, reason)], schema)
+        else:
+            part = scores(scored, [], label=LABEL, p_true=p_of_truth(LABEL)).select(*place, "rows", "accuracy", "balanced_accuracy", "log_loss", F.lit(None).cast("string").alias("reason"))
+        out = out.unionByName(part)
+    return out
 
 
 # ---------------------------------------------------------------- in-play boosting

@@ -57,10 +57,19 @@ def test_training_filters(spark):
 
 def test_walk_forward_trains_on_earlier_seasons(spark):
     settings = models.ForestSettings(trees=5, depth=3)
-    runs = list(models.walk_forward(pregame_frame(spark), settings))
-    assert [(s, league) for s, league, _ in runs] == [("2014/2015", None), ("2015/2016", None)]
-    leagues = {league for _, league, _ in models.walk_forward(pregame_frame(spark), settings, per_league=True)}
-    assert leagues == {"L1", "O'L"}
+    runs = models.walk_forward(pregame_frame(spark), settings)
+    assert [(s, league, reason) for s, league, _, reason in runs] == [("2014/2015", None, None), ("2015/2016", None, None)]
+    leagues = models.walk_forward(pregame_frame(spark), settings, per_league=True)
+    assert {(league, season) for season, league, _, _ in leagues} == {(x, s) for x in ("L1", "O'L") for s in ("2014/2015", "2015/2016")}
+
+
+def test_walk_forward_says_why_there_is_no_fit(spark):
+    frame = pregame_frame(spark)
+    late = frame.where("competition_name = 'L1' OR season_name = '2015/2016'")  # the other league has no earlier season
+    rows = {(r.competition_name, r.season_name): r for r in models.walk_forward_scores(late, models.ForestSettings(trees=3, depth=2), per_league=True).collect()}
+    assert rows["O'L", "2015/2016"].reason == "fewer than two results in earlier seasons" and rows["O'L", "2015/2016"].rows == 0
+    assert rows["O'L", "2014/2015"].reason and rows["L1", "2015/2016"].reason is None and rows["L1", "2015/2016"].rows > 0
+    assert 0 <= rows["L1", "2015/2016"].accuracy <= 1 and len(rows) == 4
 
 
 def test_boosting_and_calibration(spark):
