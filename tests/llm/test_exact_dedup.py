@@ -40,28 +40,42 @@ def test_odd_rows_and_tables(odd, none):
     assert sorted(norm(r.text) for r in kept) == sorted({norm(t) for _, t in ODD}) and len(kept[0]) == 9
 
 
-def test_overfull_buckets_are_split_and_hot_ones_spread(spark):
+def test_overfull_buckets_are_split_and_hot_texts_counted_first(spark):
     rows = [(i, f"text {i}" if i % 3 else "hot text") for i in range(600)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
     assert rows_of(exact_dedup.exact_groups(frame, bucket_rows=20)) == brute(rows)
+    index = exact_dedup.write_index(frame, bucket_rows=20)
+    assert index.where("keep_id = 0").count() == 5 and index.where("keep_id = 0 AND bytes IS NOT NULL").count() == 1
+    assert index.select("bucket").distinct().count() > 20 and index.where("bytes IS NOT NULL").count() == 401
 
 
-def test_directory_covers_every_slot_and_splits_only_overfull_buckets():
-    rng = np.random.default_rng(1)
-    slots = {int(s): (int(n), int(n)) for s, n in zip(rng.choice(1 << exact_dedup.MAX_DEPTH, 500, replace=False), rng.integers(1, 9, 500))}
-    slots[7] = (1000, 1000)
-    bucket, files = exact_dedup.directory(slots, bucket_rows=50)
-    load = np.bincount(bucket[list(slots)], [n for n, _ in slots.values()], len(files))
-    assert (np.diff(bucket) >= 0).all() and bucket.max() + 1 == len(files)
-    assert (load <= 50).sum() == len(files) - 1 and files[bucket[7]] == 21 and files.sum() == len(files) + 20
+@pytest.mark.parametrize("key_bits", [0, 1, 64])
+def test_bytes_decide_where_keys_collide(spark, key_bits):
+    rows = [(i, f"text {i % 40}" + " " * (i % 3)) for i in range(200)] + [(900, None), (901, ""), (902, " ")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+    for held in (exact_dedup.HELD_BYTES, 60, 1):  # tasks that hold few texts hand on more entries
+        assert rows_of(exact_dedup.exact_groups(frame, key_bits=key_bits, held_bytes=held)) == brute(rows)
+
 
+def test_clashing_names_stay(spark):
+    docs = spark.createDataFrame([(1, "a", 5, 6, 7, 8), (2, "a", 5, 6, 7, 8), (3, "b", 5, 6, 7, 8)], "doc_id long, text string, __row int, __kept_row int, first_row int, bucket int").cache()
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [(1, "a", 5, 6, 7, 8), (3, "b", 5, 6, 7, 8)]
 
-def test_bytes_are_compared_when_hashes_collide(spark, monkeypatch):
-    import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"key": [1, 1, 1, 2], "sha": [b"a", b"b", b"b", b"c"], "bytes": [b"x", b"y", b"y", b"x"]})
-    found = [r for b in exact_dedup._chains(iter([batch])) for r in zip(*b.to_pydict().values())]
-    assert found == [(1, b"a", 0), (1, b"b", 1), (2, b"c", 0)]
+def test_directory_covers_every_key_and_splits_only_overfull_buckets():
+    rng = np.random.default_rng(1)
+    size = 1 << exact_dedup.SLOT_BITS
+    slots = {int(s): (int(n), int(n)) for s, n in zip(rng.choice(size, 500, replace=False), rng.integers(1, 9, 500))}
+    slots[7] = (1000, 1000)
+    found = exact_dedup.Directory(slots, bucket_rows=50)
+    at = lambda slot, rest=0: found.bucket(slot << (64 - exact_dedup.SLOT_BITS) | rest)
+    buckets = np.array([at(s) for s in range(size)])
+    load = np.bincount(buckets[list(slots)], [n for n, _ in slots.values()], found.buckets)
+    last = at(7, (1 << (64 - exact_dedup.SLOT_BITS)) - 1)
+    assert (np.diff(buckets) >= 0).all() and at(size - 1, (1 << (64 - exact_dedup.SLOT_BITS)) - 1) == found.buckets - 1
+    assert (load <= 50).sum() == found.buckets - 1 and last - at(7) == 31 and found.depth == exact_dedup.SLOT_BITS + 5
+    assert exact_dedup.Directory({}).buckets == 1
 
 
 @pytest.mark.parametrize("raw", [" a  b ", "a\n\n\tb", "\x0b\x0c", "\x85 a", "a"])
