@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import batch_rows, read_table, stored
+from pitchline.llm.common import batch_rows, new_name, read_table, stored
 
 WINDOW = 13
 BITMAP_BITS = 24  # 2 MB
@@ -221,8 +221,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all columns."""
-    gone = contamination(docs, benchmark).where("contaminated").select(F.col("row").alias("__gone"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
+    place, goes = new_name("row"), new_name("gone")
+    gone = contamination(docs, benchmark).where("contaminated").select(F.col("row").alias(goes))
+    return docs.withColumn(place, F.monotonically_increasing_id()).join(gone, F.col(place) == F.col(goes), "left_anti").drop(place)
 
 
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:

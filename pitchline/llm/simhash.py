@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import batch_rows, read_table, shuffle_partitions, stored
+from pitchline.llm.common import batch_rows, new_name, read_table, shuffle_partitions, stored
 from pitchline.llm.components import components
 
 SHINGLE = 3
@@ -233,8 +233,9 @@ def near_groups(docs: DataFrame, hot_run: int = HOT_RUN) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One row of each component stays: that with the lowest doc_id, the first of several. All columns are kept."""
-    kept = near_groups(docs).where("doc_id <=> component_id").groupBy("root").agg(F.min("row").alias("__kept_row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, F.col("__row") == F.col("__kept_row"), "left_semi").drop("__row")
+    place, stays = new_name("row"), new_name("kept")
+    kept = near_groups(docs).where("doc_id <=> component_id").groupBy("root").agg(F.min("row").alias(stays))
+    return docs.withColumn(place, F.monotonically_increasing_id()).join(kept, F.col(place) == F.col(stays), "left_semi").drop(place)
 
 
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
