@@ -585,6 +585,7 @@ add("team_minute_grid", "grid", "SELECT * EXCLUDE xg, xg::DOUBLE AS xg FROM grid
 add("inplay_rollups", "roll", f"""SELECT match_id, team_id, minute, {', '.join(_real(f'{c}_cum', f'{c}_cum') for c in COUNTS)},
   {', '.join(_real(f'{c}_last_10', f'{c}_last_10') for c in TRAILING)} FROM roll""")
 add("inplay_features", "f", "SELECT * FROM f")
+add("inplay_slice", "f", f"SELECT * FROM f WHERE {SLICE}")
 add("inplay_from_json", "f", "SELECT * FROM f")
 add("inplay_derived", "f", """SELECT match_id, minute, (goal_diff_now = 0)::INT AS is_draw_now, abs(goal_diff_now) AS abs_goal_diff_now,
   minute / 90.0::DOUBLE AS minute_progress, goal_diff_now * (minute / 90.0::DOUBLE) AS score_pressure,
@@ -664,6 +665,9 @@ add("stored_lineups_second_load", "ll m", """SELECT first_position AS position_n
   minutes_played, match_id::VARCHAR AS source_match_id, lower(team_name) AS normalized_team_name, lower(player_name) AS normalized_player_name, m.season_name
 FROM ll JOIN m USING (match_id) QUALIFY row_number() OVER (PARTITION BY match_id, team_id, player_name ORDER BY player_id DESC) = 1""")
 
+ORACLE["match_team_stats_stored"] = ORACLE["match_team_stats"]
+ORACLE["match_player_stats_stored"] = ORACLE["match_player_stats"]
+
 # ---- lookups
 add("lookup_with_fallback", "lut", """SELECT match_id, source_id, x.team_name, coalesce(a.id, b.id)::VARCHAR AS found
 FROM (SELECT match_id, CASE WHEN match_id % 2 = 0 THEN home_team_id::VARCHAR ELSE 'no such id' END AS source_id,

@@ -330,6 +330,12 @@ def inplay_features(spark, d):
     return _inplay(spark, d)
 
 
+@query
+def inplay_slice(spark, d):
+    """In-play features of chosen competitions and one season: other matches' events leave before they are counted."""
+    return inplay.build(sample.events(spark, d), sample.matches(spark, d), SLICE_COMPETITIONS, SLICE_SEASON)
+
+
 @query
 def inplay_from_json(spark, d):
     """The same features from raw payloads through the silver layer."""
@@ -407,14 +413,31 @@ def match_team_stats(spark, d):
     return stats.team_stats(sample.events(spark, d), sample.matches(spark, d))
 
 
-def _player_stats(spark, d):
+def _stored_silver_events(spark, d):
+    """Silver events as written, with the fields of their payloads as columns."""
+    place = _once(spark, d, "silver-events", lambda p: writers.rebuild(_silver_events(spark, d), p))
+    return stats.parse_details(spark.read.parquet(place))
+
+
+@query
+def match_team_stats_stored(spark, d):
+    """The same from the stored silver events and their JSON payloads."""
+    return stats.team_stats(_stored_silver_events(spark, d), _silver_matches(spark, d))
+
+
+@query
+def match_player_stats_stored(spark, d):
+    return _player_stats(spark, d, _stored_silver_events(spark, d))
+
+
+def _player_stats(spark, d, events=None):
     position = F.try_element_at("positions", F.lit(1))
     whole = F.try_subtract(position["to"].try_cast("int"), position["from"].try_cast("int"))
     lineups = silver.silver_lineup_players(_curated_lineups(spark, d)).select(
         "match_id", "team_id", "player_id", whole.alias("minutes_played"),
         F.coalesce(position["start_reason"] != "", F.lit(False)).alias("starter"),
     )
-    return stats.player_stats(sample.events(spark, d), lineups)
+    return stats.player_stats(sample.events(spark, d) if events is None else events, lineups)
 
 
 @query
