@@ -88,4 +88,4 @@ def test_members_outside_the_first_component_still_meet(spark):
 
 
 def test_overlap_that_links_are_sure_to_have():
-    assert minhash.sure_overlap() in range(25, 40) and minhash.sure_overlap(100) == 64 and minhash.sure_overlap(85, 24) >= 1
+    assert minhash.sure_overlap() in range(160, 190) and minhash.sure_overlap(100) == 256 and minhash.sure_overlap(85, 24) >= 1
