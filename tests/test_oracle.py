@@ -14,6 +14,8 @@ CHECKED = [
     "inplay_features", "inplay_from_json", "pregame_features", "match_team_stats", "match_player_stats", "upsert_coalesce",
     "core_season_stats", "season_lookup", "temporal_split_rows", "classification_report", "model_metrics", "recent_form",
     "comparison_shares", "coupon", "raw_documents", "raw_routing", "csv_layouts", "inplay_derived", "export_inplay",
+    "isotonic_steps", "event_payload_fields", "lineup_payload_fields", "stored_events_second_load", "stored_lineups_second_load",
+    "observed_layer_counts", "match_team_stats_stored", "inplay_slice", "feature_medians", "team_mapping", "pregame_by_match",
 ]
 
 if not os.path.isdir(FOLDER):
