@@ -69,16 +69,14 @@ def with_recent(
     ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # written down, so that every use sees the same ranges
     dealt = cut_lineage(rows.filter(placed).repartitionByRange(ranges, *keys, date, tie).withColumn("_range", F.spark_partition_id()))
-    ordered = dealt
-
     last = (
-        ordered.select(*group, *[c for c in fields if c not in group])
+        dealt.select(*group, *[c for c in fields if c not in group])
         .withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc(date), F.desc(tie))))
         .filter(F.col("_r") <= n)
         .groupBy(*group)
         .agg(F.sort_array(F.collect_list(item)).alias("_last"))
     )
-    sizes = ordered.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = dealt.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
     across = Window.partitionBy(*keys).orderBy("_range")
     carried = sizes.join(last, group).select(
         *group,
