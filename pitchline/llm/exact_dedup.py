@@ -32,7 +32,7 @@ BUCKET_ROWS = 50_000  # a bucket with more rows is overfull
 BUCKET_BYTES = 64 << 20
 SLOT_BITS = 14  # leading bits that are counted; deeper buckets are taken as even
 KEY_BITS = 64
-HELD_BYTES = 64 << 20
+HELD_BYTES = 16 << 20
 _CONTROLS = bytes(0x20 if 9 <= b <= 13 else b for b in range(256))
 ENTRY = "bucket long, key long, first_row long, doc_id long, row long, n long, bytes binary"
 INDEX = "bucket long, key long, chain int, bytes binary, first_row long, keep_id long, keep_row long, group_size long, text_sha256 string"
