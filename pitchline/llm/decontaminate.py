@@ -6,13 +6,14 @@ window, so both texts select the same k-gram there, and no shared span of that l
 ``WINDOW`` words use ``w + k - 1 = WINDOW``; shorter items are one window, and each shorter length present has its own
 k and w.
 
-A fingerprint carries the ``w - 1`` words around it on both sides, all that a window with it can hold. Test fingerprints
-are reduced to distinct ones. Training fingerprints first pass a bitmap of the test ones (of fixed size; a larger
-benchmark only lets more pass), are joined with them on the hash, and the hit is extended word by word to both sides.
-Hits of at least the window's length mark their words; nothing depends on the hash being free of collisions.
+A training fingerprint carries the ``w - 1`` words around it on both sides, all that a window with it can hold. It first passes
+a bitmap of the test fingerprints (of fixed size; a larger benchmark only lets more pass) and is joined with their distinct
+hashes. A hit is extended to the windows that hold it, and these meet the distinct windows of the items by their words, so
+nothing depends on a hash being free of collisions.
 
-Skew: a passage shared by many documents meets few distinct test fingerprints, a table whose size Spark knows.
-Documents are never joined with items as a whole; a document's items are gathered per document only.
+Skew: a distinct window of the items is one row, however many items hold it, so a document's place meets it once, and a
+passage that many documents and many items share gives a row for each document and window. The items are gathered for each
+different set of windows once, not for each document.
 
 Cases: null and empty texts have no words and are not contaminated; such items have no windows. Items that repeat an
 item_id count once, items without one mark words but are not listed. Rows that repeat are kept apart. Empty tables of
@@ -129,16 +130,20 @@ def _chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[list[t
 
 
 def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fingerprints of the items (no window), and their windows (no hash)."""
     for part in _chunks(batches, "item_id", "text"):
         items, out = [r[0] for r in part], []
         words = Words([r[1] for r in part])
         lengths = np.minimum(words.counts, WINDOW)
         for length in np.unique(lengths[lengths > 0]).tolist():
-            for place, value in zip(*words.selected(length)):
-                if lengths[words.text[place]] == length:
-                    out.append((items[words.text[place]], length, int(value.astype(np.int64)), *words.context(int(place), length)))
-        types = (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["item_id", "length", "hash", "item_before", "item_context"])
+            places, values = words.selected(length)
+            chosen = values[lengths[words.text[places]] == length].view(np.int64)
+            out += [(None, length, h, None) for h in np.unique(chosen).tolist()]
+            for text in np.flatnonzero(lengths == length).tolist():
+                found = words_of(part[text][1])
+                out += [(items[text], length, None, b" ".join(found[i:i + length])) for i in range(len(found) - length + 1)]
+        types = (pa.string(), pa.int32(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["item_id", "length", "hash", "window"])
 
 
 def _slot(values: np.ndarray) -> np.ndarray:
@@ -164,36 +169,30 @@ def _doc_prints(lengths: list[int], bitmap: np.ndarray):
     return run
 
 
-def extended(k: int, ours: list[bytes], at: int, theirs: list[bytes], other: int) -> tuple[int, int]:
-    """Equal words before the k-gram at ``at`` and ``other``, and from it on; (0, 0) where the k-grams differ."""
-    if ours[at:at + k] != theirs[other:other + k]:
-        return 0, 0
-    left = 0
-    while left < min(at, other) and ours[at - left - 1] == theirs[other - left - 1]:
-        left += 1
-    right, most = k, min(len(ours) - at, len(theirs) - other)
-    while right < most and ours[at + right] == theirs[other + right]:
-        right += 1
-    return left, right
+def windows_around(k: int, length: int, words: list[bytes], before: int) -> Iterator[tuple[int, bytes]]:
+    """Windows of ``length`` words that hold the k-gram after ``before`` words: where each starts, and its words."""
+    for start in range(max(0, before + k - length), min(before, len(words) - length) + 1):
+        yield start, b" ".join(words[start:start + length])
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for columns in batch_rows(batches, "row", "pos", "before", "context", "length", "item_before", "item_context", "print_id"):
+    for columns in batch_rows(batches, "row", "pos", "before", "context", "length"):
         out = []
-        for row, pos, before, context, length, item_before, item_context, print_id in zip(*columns, strict=True):
-            left, right = extended(shape(length)[0], context.split(b" "), before, item_context.split(b" "), item_before)
-            if left + right >= length:
-                out.append((row, pos - left, pos + right, print_id))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(4)], ["row", "low", "high", "print_id"])
+        for row, pos, before, context, length in zip(*columns, strict=True):
+            for start, window in windows_around(shape(length)[0], length, context.split(b" "), before):
+                low = pos - before + start
+                out.append((row, low, low + length, window))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["row", "low", "high", "window"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: row (place in the table), doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    prints = items.mapInArrow(_item_prints, "item_id string, length int, hash long, item_before int, item_context binary")
-    prints = stored(prints.withColumn("print_id", F.xxhash64("length", "hash", "item_before", "item_context")), "item-prints")
-    identity = ["print_id", "length", "hash", "item_before", "item_context"]
-    distinct = stored(prints.select(*identity).distinct(), "distinct-prints")
+    found = stored(items.mapInArrow(_item_prints, "item_id string, length int, hash long, window binary"), "item-prints")
+    distinct = stored(found.where("hash IS NOT NULL").select("length", "hash").distinct(), "distinct-prints")
+    windows = stored(found.where("window IS NOT NULL").select("window").distinct().withColumn("node", F.monotonically_increasing_id()), "item-windows")
+    holders = stored(found.where("window IS NOT NULL AND item_id IS NOT NULL").join(windows, "window").select("node", "item_id").distinct(), "window-items")
     lengths = [r["length"] for r in distinct.select("length").distinct().collect()]  # at most WINDOW
     slot = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
     words = distinct.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.cast("int").bitwiseAND(63))).alias("bits"))
@@ -203,14 +202,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(rows.mapInArrow(_doc_prints(sorted(lengths), bitmap), f"row long, doc_id long, n_words long, seeds array<struct<{', '.join(x.replace(' ', ':', 1) for x in _SEED.split(', '))}>>"), "doc-prints")
     seeds = rows.where("size(seeds) > 0").select("row", F.explode("seeds").alias("s")).select("row", "s.*")
-    hits = seeds.join(distinct, "hash").select("row", "pos", "before", "context", "length", "item_before", "item_context", "print_id")
-    hits = stored(hits.mapInArrow(_extend, "row long, low long, high long, print_id long"), "hits")
+    hits = seeds.join(distinct, "hash").select("row", "pos", "before", "context", "length")
+    hits = hits.mapInArrow(_extend, "row long, low long, high long, window binary").join(windows, "window")
+    hits = stored(hits.select("row", "low", "high", "node").distinct(), "hits")
     spans = hits.groupBy("row", "low").agg(F.max("high").alias("high"))
     reached = F.max("high").over(Window.partitionBy("row").orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
     covered = spans.withColumn("reached", F.coalesce(reached, F.lit(0))).groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.col("high") - F.greatest("low", "reached"))).alias("n_hit"))
-    found = hits.select("row", "print_id").distinct().join(prints.select("print_id", "item_id").where("item_id IS NOT NULL").distinct(), "print_id")
-    listed = found.select("row", "item_id").distinct().groupBy("row").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
-    listed = listed.select("row", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    sets = stored(hits.groupBy("row").agg(F.sort_array(F.collect_set("node")).alias("nodes")), "window-sets")
+    different = stored(sets.select("nodes").distinct().withColumn("set", F.monotonically_increasing_id()), "different-sets")
+    named = different.select("set", F.explode("nodes").alias("node")).join(holders, "node").groupBy("set").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    named = named.select("set", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    listed = sets.join(different, "nodes").join(named, "set").select("row", "n_items", "items_sha256")
     result = rows.select("row", "doc_id", "n_words").join(covered.join(listed, "row", "left"), "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return result.select(

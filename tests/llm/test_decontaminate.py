@@ -87,3 +87,21 @@ def test_every_long_shared_span_shares_a_fingerprint():
             left, right = ("x " * int(rng.integers(0, 5)) + span + " y" * int(rng.integers(0, 5)) for _ in range(2))
             prints = [{int(h) for h in decontaminate.Words([t]).selected(length)[1]} for t in (left, right)]
             assert prints[0] & prints[1]
+
+
+def test_a_passage_of_many_items_and_documents_gives_no_pairs(spark, monkeypatch):
+    phrase = " ".join(f"p{i}" for i in range(13))
+    items = [(i, f"before{i} {phrase} after{i}") for i in range(400)]
+    docs = [(i, f"x{i} y {phrase} z{i}") for i in range(400)]
+    rows = {}
+
+    def counted(df, name):
+        out = stored(df, name)
+        rows[name] = out.count()
+        return out
+
+    stored = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4).cache()
+    got = rows_of(decontaminate.contamination(frame, spark.createDataFrame(items, "item_id long, text string")))
+    assert got == brute(docs, items) and rows["hits"] == 400 and rows["different-sets"] == 1 and max(rows.values()) < 2000
