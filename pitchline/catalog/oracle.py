@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Names written out here, not taken from the code under check.
+# Names, labels and thresholds of the result columns. Written out here, not taken from the code under check.
 COUNTS = ["goals", "shots", "shots_on_target", "xg", "fouls", "red_cards", "passes"]
 DIFFS = ["shots_cum", "shots_on_target_cum", "xg_cum", "shots_last_10", "shots_on_target_last_10", "xg_last_10", "red_cards",
  "fouls_cum", "passes_cum"]

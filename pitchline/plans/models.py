@@ -28,6 +28,9 @@ INPLAY_LABEL = "target_result_final"
 SPLITS = ["train", "valid", "test"]
 
 
+# The settings of the models.
+
+
 @dataclass(frozen=True)
 class ForestSettings:
     trees: int = 500

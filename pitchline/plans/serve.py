@@ -10,6 +10,7 @@ from pitchline.operators.history import last_n, team_perspective
 
 LIST_COLUMNS = ["match_id", "match_date", "competition_name", "season_name", "home_team_name", "away_team_name", "home_score", "away_score"]
 SUMMARY_COLUMNS = [*LIST_COLUMNS, "match_result"]
+# The features that are compared, and how they are shown.
 COMPARED = {  # shown metric -> home column, away column
     "Pontos médios últimos 5": ("home_last5_points_avg", "away_last5_points_avg"),
     "Win rate últimos 5": ("home_last5_win_rate", "away_last5_win_rate"),
