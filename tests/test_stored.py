@@ -109,3 +109,13 @@ def test_layers_from_files(spark, tmp_path):
     shown = ["match_id", "home_last5_points_avg", "away_last5_shots_avg", "home_matches_played_before"]
     key = lambda df: sorted(tuple(r) for r in df.select(*shown).fillna(-1.0).collect())
     assert key(jobs.read(spark, out, "pregame_features")) == key(want)
+
+
+def test_small_files_are_not_broadcast_unmeasured(spark):
+    """Files of a few MB can hold a million rows: no join of the plan may collect a side by its file size."""
+    from pitchline.catalog.queries import REGISTRY
+
+    for name in ("pregame_recent_shots", "pregame_distinct_players", "inplay_features"):
+        plan = REGISTRY[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan, name
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 8
