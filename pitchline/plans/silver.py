@@ -80,42 +80,51 @@ def curated_by_file(raw: DataFrame, targets: DataFrame) -> DataFrame:
     return keyed.filter(F.col("match_id").isNotNull()).join(targets.select("match_id"), "match_id", "left_semi")
 
 
+def _match_of_file(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("match_id", match_id_from_file(F.col("source_file"))).filter(F.col("match_id").isNotNull())
+
+
+def target_events(raw: DataFrame, targets: DataFrame) -> DataFrame:
+    """``silver_events(curated_by_file(raw, targets))`` for readers of some of its columns: payloads are parsed where they are
+    read, and the join moves the fields that are wanted instead of the payload. Casts follow the join, so that bad text of
+    other matches fails nothing."""
+    fields = _event_fields(_match_of_file(raw))
+    return _typed_events(fields.join(targets.select("match_id"), "match_id", "left_semi"))
+
+
 def silver_events(curated: DataFrame) -> DataFrame:
     """One typed row per event; open-ended sub-objects stay JSON text."""
-    e = curated.withColumn("p", F.from_json("payload", EVENT_PAYLOAD))
-    columns = {
-        "event_id": F.col("p.id"),
-        "match_id": F.col("match_id"),
-        "event_index": strict(F.col("p.index"), "int"),
-        "period": strict(F.col("p.period"), "int"),
-        "event_timestamp": F.nullif(F.col("p.timestamp"), F.lit("")),
-        "minute": strict(F.col("p.minute"), "int"),
-        "second": strict(F.col("p.second"), "decimal(18,6)"),
-        "possession": strict(F.col("p.possession"), "int"),
-        "possession_team_id": strict(F.col("p.possession_team.id"), "long"),
-        "possession_team_name": F.col("p.possession_team.name"),
-        "play_pattern_id": strict(F.col("p.play_pattern.id"), "int"),
-        "play_pattern_name": F.col("p.play_pattern.name"),
-        "team_id": strict(F.col("p.team.id"), "long"),
-        "team_name": F.col("p.team.name"),
-        "player_id": strict(F.col("p.player.id"), "long"),
-        "player_name": F.col("p.player.name"),
-        "position_id": strict(F.col("p.position.id"), "int"),
-        "position_name": F.col("p.position.name"),
-        "event_type_id": strict(F.col("p.type.id"), "int"),
-        "event_type_name": F.col("p.type.name"),
-        "duration": strict(F.col("p.duration"), "decimal(18,6)"),
-        "under_pressure": strict(F.col("p.under_pressure"), "boolean"),
-        "off_camera": strict(F.col("p.off_camera"), "boolean"),
-        "out_of_play": strict(F.col("p.out"), "boolean"),
-        "location": F.col("p.location"),
-        **{f"{name}_payload": F.col(f"p.{name}") for name in EVENT_OBJECTS},
-        "bad_behaviour_payload": F.col("p.bad_behaviour"),
-        "source_dataset": F.col("source_dataset"),
-        "source_file": F.col("source_file"),
-        "raw_payload": F.col("payload"),
-    }
-    return e.select(*[c.alias(n) for n, c in columns.items()])
+    return _typed_events(_event_fields(curated))
+
+
+EVENT_FIELDS = {  # column -> field of the payload
+    "event_id": "id", "event_index": "index", "period": "period", "event_timestamp": "timestamp", "minute": "minute", "second": "second",
+    "possession": "possession", "possession_team_id": "possession_team.id", "possession_team_name": "possession_team.name",
+    "play_pattern_id": "play_pattern.id", "play_pattern_name": "play_pattern.name", "team_id": "team.id", "team_name": "team.name",
+    "player_id": "player.id", "player_name": "player.name", "position_id": "position.id", "position_name": "position.name",
+    "event_type_id": "type.id", "event_type_name": "type.name", "duration": "duration", "under_pressure": "under_pressure",
+    "off_camera": "off_camera", "out_of_play": "out", "location": "location",
+    **{f"{name}_payload": name for name in EVENT_OBJECTS}, "bad_behaviour_payload": "bad_behaviour",
+}
+EVENT_TYPES = {
+    "event_index": "int", "period": "int", "minute": "int", "second": "decimal(18,6)", "possession": "int", "possession_team_id": "long",
+    "play_pattern_id": "int", "team_id": "long", "player_id": "long", "position_id": "int", "event_type_id": "int",
+    "duration": "decimal(18,6)", "under_pressure": "boolean", "off_camera": "boolean", "out_of_play": "boolean",
+}
+
+
+def _event_fields(rows: DataFrame) -> DataFrame:
+    """The payload's fields as they are written."""
+    parsed = rows.withColumn("p", F.from_json("payload", EVENT_PAYLOAD))
+    fields = [F.col(f"p.{path}").alias(name) for name, path in EVENT_FIELDS.items()]
+    return parsed.select("match_id", *fields, "source_dataset", "source_file", F.col("payload").alias("raw_payload"))
+
+
+def _typed_events(fields: DataFrame) -> DataFrame:
+    typed = {c: strict(F.col(c), t) for c, t in EVENT_TYPES.items()}
+    typed["event_timestamp"] = F.nullif(F.col("event_timestamp"), F.lit(""))
+    order = ["event_id", "match_id", *[c for c in EVENT_FIELDS if c != "event_id"], "source_dataset", "source_file", "raw_payload"]
+    return fields.select(*[typed.get(c, F.col(c)).alias(c) for c in order])
 
 
 def silver_lineups(curated: DataFrame) -> DataFrame:
