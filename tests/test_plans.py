@@ -195,3 +195,21 @@ def test_pregame_rows(spark):
     late = max(out.values(), key=lambda r: r.home_matches_played_before)
     assert late.home_distinct_players_last5 == 3
     assert [r for r in out.values() if r.target_result is None and r.target_btts is None]
+
+
+def test_payloads_stay_where_they_are_unless_many_matches_are_unknown(spark, monkeypatch):
+    rows = [("data/events/1.json", '{"id": "a", "minute": "3"}'), ("data/events/2.json", '{"id": "b", "minute": "x"}'), ("data/other.json", "{}")]
+    raw = spark.createDataFrame(rows, "source_file string, payload string").withColumn("source_dataset", F.lit("t"))
+    targets = spark.createDataFrame([(1,), (3,)], "match_id long")
+    wanted = None
+    for limit in (200_000, 0):
+        monkeypatch.setattr(silver, "MEASURED_IDS", limit)
+        for files in (None, raw.select("source_file")):
+            curated = silver.curated_by_file(raw, targets, files)
+            assert ("LeftAnti" in curated._jdf.queryExecution().executedPlan().toString()) == (limit > 0)
+            found = silver.silver_events(curated).collect()
+            assert [(r.event_id, r.match_id, r.minute) for r in found] == [("a", 1, 3)]
+            wanted = wanted or found
+            assert found == wanted
+    # fields move instead of payloads; bad text of another match fails nothing
+    assert silver.target_events(raw, targets).collect() == wanted
