@@ -119,3 +119,15 @@ def test_small_files_are_not_broadcast_unmeasured(spark):
         plan = REGISTRY[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastExchange" not in plan, name
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 8
+
+
+def test_updates_are_written_down_compressed(spark, tmp_path, monkeypatch):
+    """Rows of an update that pass the shared folder take a small part of a checkpoint's room."""
+    from pitchline import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    rows = spark.range(20000).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, F.repeat(F.lit("payload "), 50)).alias("payload"), F.array("id").alias("a"))
+    down = session.written_down(rows)
+    assert down.schema.simpleString() == rows.schema.simpleString() and down.exceptAll(rows).isEmpty() and down.count() == 20000
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 1_000_000 < 20000 * 200
+    assert session.written_down(rows.withColumn("none", F.lit(None))).count() == 20000
