@@ -9,32 +9,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pitchline.llm import decontaminate, exact_dedup, language_id, packing, simhash
-from pitchline.llm.common import read_table, stored
+from pitchline.llm.common import bounded_batches, read_table, stored
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language learned from the labelled ones; texts without letters or in no such language go."""
+    bounded_batches(spark)
     filters = language_id.train(docs.where(~language_id.held_out()).select("lang", "text"))
     return language_id.keep_known(docs, filters)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    bounded_batches(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of linked fingerprints."""
+    bounded_batches(spark)
     return simhash.drop_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold benchmark passages."""
+    bounded_batches(spark)
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and the sequences that hold them."""
+    bounded_batches(spark)
     return packing.pack_documents(docs)
 
 

@@ -52,6 +52,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches between Spark and Python end at some bytes: 10,000 texts would be held outside the heap, and again in Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 SLICE_ROWS = 500  # rows whose values are Python objects at once
 SLICE_BYTES = 32 << 20
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pitchline.llm.common import bounded_rows, new_folder, new_name, read_table
 
 BUCKET_ROWS = 50_000  # a bucket with more rows is overfull
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20  # an owner task sorts, chains and writes this much
 SLOT_BITS = 14  # leading bits that are counted; deeper buckets are taken as even
 KEY_BITS = 64
 HELD_BYTES = 16 << 20
@@ -205,7 +205,8 @@ def write_index(
     directory = Directory(slots, bucket_rows, bucket_bytes)
     entries = texts.mapInArrow(_entries(directory, held_bytes, key_bits), ENTRY)
     tasks = max(1, min(directory.buckets, 1 << SLOT_BITS))
-    owned = entries.repartition(tasks, "bucket").sortWithinPartitions("bucket", "key", "first_row")
+    # dealt by number, not by its hash, which puts several buckets into one task and none into others
+    owned = entries.repartitionById(tasks, (F.col("bucket") % tasks).cast("int")).sortWithinPartitions("bucket", "key", "first_row")
     path = new_folder(spark, "exact-index")
     owned.mapInArrow(_owners, INDEX).write.parquet(path)
     return spark.read.schema(INDEX).parquet(path)

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from fixture_rows import FOLDER, ODD
@@ -81,3 +82,11 @@ def test_directory_covers_every_key_and_splits_only_overfull_buckets():
 @pytest.mark.parametrize("raw", [" a  b ", "a\n\n\tb", "\x0b\x0c", "\x85 a", "a"])
 def test_normalised_equals_the_pattern(raw):
     assert exact_dedup.normalised(raw).decode() == norm(raw)
+
+
+def test_an_owner_task_takes_one_bucket(spark):
+    rows = [(i, f"text {i}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    index = exact_dedup.write_index(frame, bucket_rows=20)
+    buckets = [len(r.b) for r in index.groupBy(F.input_file_name()).agg(F.collect_set("bucket").alias("b")).collect()]
+    assert len(buckets) > 20 and max(buckets) == 1
