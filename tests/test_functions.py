@@ -18,6 +18,15 @@ def test_file_names(spark):
     ]
 
 
+def test_odd_file_names(spark):
+    rows = [("d/12\\.json",), ("d/12/.json",), ("d/a12b034.json",), ("12.json.json",), ("d/5.JSON",), ("d\ne/7.json",), ("d/7.json\n",), ("d/8.jsonx",)]
+    p = F.col("p")
+    got = values(spark, rows, "p string", paths.base_name(p), paths.match_id_from_file(p))
+    assert got == [
+        (".json", None), (".json", None), ("a12b034.json", 34), ("12.json.json", None), ("5.JSON", None), ("7.json", 7), ("7.json\n", 7), ("8.jsonx", None),
+    ]
+
+
 def test_result_labels(spark):
     rows = [(2, 1), (1, 2), (1, 1), (None, 1)]
     h, a = F.col("h"), F.col("a")

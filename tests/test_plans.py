@@ -91,6 +91,16 @@ def test_lineups(spark):
     assert got == {1: (None, "GK", True, None), 2: (None, "CB", True, 45), 3: (None, "CB", False, None), 4: (None, None, False, None)}
 
 
+def test_lineup_payloads_are_parsed_once(spark, tmp_path):
+    body = {"team_id": 5, "team_name": "t", "lineup": [{"player_id": 1, "player_name": "p"}, None]}
+    rows = [(9, json.dumps(body)), (9, json.dumps({"team_id": 6})), (9, json.dumps({"team_id": 7, "lineup": []}))]
+    spark.createDataFrame(rows, "match_id long, payload string").write.parquet(f"{tmp_path}/lineups")
+    players = silver.silver_lineup_players(spark.read.parquet(f"{tmp_path}/lineups")).select("team_id", "player_id", "player_name")
+    assert {tuple(r) for r in players.collect()} == {(5, 1, "p"), (5, None, None)}
+    filters = [line for line in players._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert not [line for line in filters if "from_json" in line]
+
+
 # ---------------------------------------------------------------- in-play
 
 EVENT = "match_id long, team_id long, minute int, event_type_name string, shot_outcome string, shot_xg decimal(19,18), card string"
