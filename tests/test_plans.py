@@ -223,3 +223,16 @@ def test_payloads_stay_where_they_are_unless_many_matches_are_unknown(spark, mon
             assert found == wanted
     # fields move instead of payloads; bad text of another match fails nothing
     assert silver.target_events(raw, targets).collect() == wanted
+
+
+def test_the_driver_holds_no_side_of_some_megabytes(spark, tmp_path):
+    from pitchline.session import sized_settings
+
+    (tmp_path / "input").mkdir()
+    session = spark.newSession()
+    sized_settings(session, str(tmp_path / "input"))
+    counts = session.range(100_000).groupBy("id").count()  # 2.4 MB as rows
+    joined = session.range(1_000_000).groupBy((F.col("id") % 200_000).alias("id")).count().withColumnRenamed("count", "n").join(counts, "id")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan.split("Initial Plan")[0]
