@@ -189,6 +189,38 @@ def test_best_match_by_the_index_equals_brute_force(spark, piece):
     assert keyed.where("by_index").count() > 50 and found.count() < 0.1 * 70 * 140
 
 
+def test_names_that_share_all_common_pairs(spark, monkeypatch):
+    """Numbered names without close ones: a first score meets a bucket of right names, nothing that met is sorted, ties go to the smallest id."""
+    monkeypatch.setattr(resolve, "PROBED", 8)
+    kinds = ["BUILDING", "AUTOMOBILE", "MACHINERY"]
+    left = [(i, f"Supplier#{i:09d}", None) for i in range(0, 120, 2)]
+    right = [(900 - i, f"{i:09d} Supplier Club {kinds[i % 3]}", None) for i in range(400)]
+    schema = "team_id long, team_name string, none string"
+    frames = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = resolve.best_matches(*frames, "team_id", "team_name", piece=150)
+    want = {k: (s, i) for (k, _), (s, i) in brute_names(left, right).items()}
+    assert {r.team_id: (r.score, r.match.id) for r in got.collect()} == want
+    names = [f.select(resolve.sorted_tokens(resolve.simple_name(F.col("team_name")))) for f in frames]
+    index = resolve.NameIndex(*names)
+    assert 0 < index.probes().count() <= 60 * resolve.PROBES * 3 * 8
+    assert "SortAggregate" not in index.first_scores()._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_names(left, right):
+    norm = lambda s: " ".join(sorted(s.lower().split()))
+    out, texts = {}, EncodedStrings([norm(rn) for _, rn, _ in right])
+    for key, name, _ in left:
+        scores = [(-round(float(s), 2), rid) for s, (rid, _, _) in zip(texts.ratios(norm(name)), right)]
+        out[key, None] = (-min(scores)[0], min(scores)[1])
+    return out
+
+
+def test_strings_that_end_alike_share_their_bits():
+    """Numbers before the same words: fewer columns than characters are computed."""
+    names = EncodedStrings([f"{i:04d} building club supplier" for i in range(1000)])
+    assert sum(len(column) for _, column in names.levels) < 3 * 1000
+
+
 def test_mapping_rows(spark):
     schema = "player_id long, player_name string, team_name string"
     rows = resolve.player_mapping(spark.createDataFrame([(1, "Ana Li", "Porto")], schema), spark.createDataFrame([(7, "li ana", "Porto"), (8, "li ana", "Porto")], schema), "2025/2026")
