@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.schemas import BAD_BEHAVIOUR_PAYLOAD, SHOT_PAYLOAD
+from pitchline.session import shuffle_pieces
 
 XG = "decimal(38,18)"  # sums do not depend on the order of addition
 SHOT_XG = "decimal(19,18)"
@@ -106,7 +107,8 @@ def _dense(counts: DataFrame, matches: DataFrame, names: list[str], extra_keys:
     keys = ["match_id", *extra_keys, "minute"]
     grid = matches.select("match_id", *extra_keys, F.explode(F.sequence(F.lit(1), F.lit(LAST_MINUTE))).alias("minute"))
     zeros = grid.select(*keys, *[F.expr(f"CAST(0 AS {_type(c)}) AS {c}") for c in names])
-    both = zeros.unionByName(counts.select(*keys, *names)).repartition("match_id")
+    # a fixed number of partitions: rows of zeros shrink so far that pieces merged by their bytes would hold millions
+    both = zeros.unionByName(counts.select(*keys, *names)).repartition(shuffle_pieces(matches.sparkSession), "match_id")
     return both.groupBy(*keys).agg(*[F.expr(f"CAST(sum({c}) AS {_type(c)}) AS {c}") for c in names])
 
 

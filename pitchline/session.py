@@ -50,6 +50,11 @@ def sized_settings(spark: SparkSession, folder: str) -> None:
         spark.conf.set(key, value)
 
 
+def shuffle_pieces(spark: SparkSession) -> int:
+    """Partitions of a shuffle before small ones are merged: they follow the size of the input (:func:`sized_settings`)."""
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; only where none is, one inside the warehouse, which is shared as well."""
     sc = spark.sparkContext

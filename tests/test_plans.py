@@ -236,3 +236,11 @@ def test_the_driver_holds_no_side_of_some_megabytes(spark, tmp_path):
     joined.collect()
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan.split("Initial Plan")[0]
+
+
+def test_inplay_pieces_follow_the_input(spark):
+    """Rows of zeros shrink so far that pieces merged by their bytes would hold millions: the number of pieces is fixed."""
+    from pitchline.catalog.queries import REGISTRY
+
+    plan = REGISTRY["inplay_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(match_id#" in plan and "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
