@@ -244,3 +244,10 @@ def test_inplay_pieces_follow_the_input(spark):
 
     plan = REGISTRY["inplay_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(match_id#" in plan and "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
+
+
+def test_mapping_counters_match_names_once(spark):
+    from pitchline.catalog.queries import REGISTRY
+
+    plan = REGISTRY["mapping_counters"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and plan.count("Scan parquet") == 2
