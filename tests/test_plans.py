@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitchline.operators.history import last_n, team_perspective, with_recent
-from pitchline.plans import inplay, pregame, silver
+from pitchline.plans import core, inplay, pregame, silver
 
 MATCH = "match_id long, match_date date, competition_name string, season_name string, home_team_id long, home_team_name string, away_team_id long, away_team_name string, home_score int, away_score int, match_result string"
 
@@ -251,3 +251,28 @@ def test_mapping_counters_match_names_once(spark):
 
     plan = REGISTRY["mapping_counters"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "CoGroup" not in plan and plan.count("Scan parquet") == 2
+
+
+def test_core_events_are_parsed_once_and_looked_up_by_name(spark, tmp_path):
+    def event(i, team, player, minute="1"):
+        return json.dumps({"id": i, "index": 1, "minute": minute, "team": team, "player": {"name": player}, "type": {"name": "Shot"}})
+
+    home = {"id": 10, "name": "Home"}
+    raw = spark.createDataFrame([
+        (1, "1.json", event("a", home, "P One")), (2, "1.json", event("a", home, "P One", "2")), (3, "1.json", event("b", {"id": 99, "name": " HOME"}, "no one")),
+        (4, "1.json", event("c", None, None)), (5, "7.json", event("d", home, "P One")), (6, "no id", event("e", home, "P One")), (7, "1.json", event(None, home, "P One")),
+    ], "raw_event_id long, source_file string, payload string")
+    raw.write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    matches = spark.createDataFrame([("1",)], "source_match_id string").select(
+        core.surrogate_key(F.lit(core.SOURCE), F.col("source_match_id")).alias("match_id"), F.lit(core.SOURCE).alias("source_name"), "source_match_id")
+    teams = spark.createDataFrame([(5, core.SOURCE, "10", "home")], "team_id long, source_name string, source_team_id string, normalized_team_name string")
+    players = spark.createDataFrame([(8, "p one")], "player_id long, normalized_player_name string")
+    events, rejects = core.match_events(None, raw, matches, teams, players)
+    found = {r.source_event_id: (r.minute, r.team_id, r.player_id, r.match_id is not None) for r in events.collect()}
+    assert found == {"a": (2, 5, 8, True), "b": (1, 5, None, True), "c": (1, None, None, True)}
+    assert {(r.raw_event_id, r.reason) for r in rejects.collect()} == {(5, "unknown match"), (6, "unknown match"), (7, "no event id")}
+    assert "from_json" not in events._jdf.queryExecution().optimizedPlan().toString()  # what was parsed is read by both joins
+    assert "raw_payload" in events.columns and "raw_payload" not in core.match_events(None, raw, matches, teams, players, payload=False)[0].columns
+    again, _ = core.match_events(events, raw.filter("raw_event_id = 1"), matches, teams, players)
+    assert {r.source_event_id: r.minute for r in again.collect()} == {"a": 1, "b": 1, "c": 1}
