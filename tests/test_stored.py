@@ -131,3 +131,18 @@ def test_updates_are_written_down_compressed(spark, tmp_path, monkeypatch):
     assert down.schema.simpleString() == rows.schema.simpleString() and down.exceptAll(rows).isEmpty() and down.count() == 20000
     assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 1_000_000 < 20000 * 200
     assert session.written_down(rows.withColumn("none", F.lit(None))).count() == 20000
+
+
+def test_updates_of_different_keys_move_no_whole_rows(spark, tmp_path, monkeypatch):
+    """Without repeated keys nothing is grouped: a first load is written as it is, a later one meets the table by keys."""
+    rows = lambda *r: spark.createDataFrame(list(r), SCHEMA)
+    plans, write = [], stored._write
+    monkeypatch.setattr(stored, "_write", lambda df, *a: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, *a)))
+    for mode, one in ((stored.REPLACE, 11), (KEEP, 1)):
+        path = str(tmp_path / mode)
+        stored.upsert(rows((1, "a", 1, 0), (None, "a", 2, 0), (3, "b", 3, 0)), path, ["k"], ["at"], "season", mode)
+        stored.upsert(rows((1, "a", 11, 1), (None, "a", 2, 1), (4, "c", 4, 1)), path, ["k"], ["at"], "season", mode)
+        assert table(spark, path) == sorted([(1, "a", one), (None, "a", 2), (3, "b", 3), (4, "c", 4)], key=repr)
+        assert all(".zstd." in f for f in files(path))
+    assert len(plans) == 4 and not any("Aggregate" in p for p in plans)
+    assert "Join" not in plans[0] and "LeftAnti" in plans[1]
