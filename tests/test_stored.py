@@ -146,3 +146,17 @@ def test_updates_of_different_keys_move_no_whole_rows(spark, tmp_path, monkeypat
         assert all(".zstd." in f for f in files(path))
     assert len(plans) == 4 and not any("Aggregate" in p for p in plans)
     assert "Join" not in plans[0] and "LeftAnti" in plans[1]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_lineup_payloads_do_not_move_through_lookups(spark):
+    from pitchline.plans import core
+    from pitchline.session import sized_settings
+
+    sized_settings(spark, FOLDER)
+    m = sample.matches(spark, FOLDER)
+    known = core.matches(m.filter("match_id % 2 = 0"))
+    rows, rejects = core.lineups(None, sample.raw_lineups(spark, FOLDER), known, core.teams(m))
+    assert "SortMergeJoin" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() > 0 and rows.join(known, "match_id", "left_anti").isEmpty()
+    assert {r.reason for r in rejects.select("reason").distinct().collect()} == {"unknown match"}
